@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import token_files
+from . import mixing, ogg_media, token_files
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
+    "op6_ogg_media": ogg_media.op6_ogg_media,
     "op7_token_files": token_files.op7_token_files,
 }
 ORACLES: dict[str, str] = {}
