@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from . import mixing, ogg_media, token_files
+from . import license_scan, mixing, near_dup, ogg_media, token_files, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op6_ogg_media": ogg_media.op6_ogg_media,
     "op7_token_files": token_files.op7_token_files,
+    "op8_near_dup": near_dup.op8_near_dup,
+    "op9_license_scan": license_scan.op9_license_scan,
+}
+ORACLES: dict[str, str] = {
+    "op9_license_scan": license_scan.oracle(),
 }
-ORACLES: dict[str, str] = {}
