@@ -10,9 +10,13 @@ touches few pages and one that wants lengths reads no tokens.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,41 +25,90 @@ from .common import blobs, new_table
 
 END_ID = 1
 #: A worker forgets its table of encoded words beyond so many entries, to bound its memory.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 256 << 10
 
 _FILE = pa.schema([("doc_id", pa.int64()), ("file_offset", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-def encoder(tokenizer_file: str) -> Callable[[list[bytes]], list[bytes]]:
+#: A word of plain Latin letters, with a full stop or comma or without.
+_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+
+
+class Encoder:
     """Texts to ids (little-endian 32-bit), by the tokenizers library.
 
     The tokenizer's normaliser and splitter act inside a piece between ASCII white
     space, and no piece's ids depend on its neighbours, so each distinct piece is
-    encoded once for each worker and then looked up.
+    encoded once for each worker and then looked up. Where a run of letters is one
+    word of the tokenizer and its last token says that it ends the word, pieces of plain
+    letters are encoded many together, without normaliser and splitter, and cut at these tokens.
     """
-    from tokenizers import Tokenizer
-
-    model = Tokenizer.from_file(tokenizer_file)
-    memo: dict[bytes, bytes] = {}
-
-    def encode(texts: list[bytes]) -> list[bytes]:
-        out = []
-        for text in texts:
-            pieces = text.split()
-            new = list(set(pieces).difference(memo))
-            if new:
-                if len(memo) + len(new) > MEMO_WORDS:
-                    memo.clear()
-                    new = list(set(pieces))
-                for lo in range(0, len(new), 4096):
-                    part = new[lo : lo + 4096]
-                    for piece, x in zip(part, model.encode_batch([p.decode() for p in part], add_special_tokens=False), strict=True):
-                        memo[piece] = b"".join(i.to_bytes(4, "little") for i in x.ids)
-            out.append(b"".join(map(memo.__getitem__, pieces)))
-        return out
-
-    return encode
+
+    def __init__(self, tokenizer_file: str) -> None:
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.model = Tokenizer.from_file(tokenizer_file)
+        self.memo: dict[bytes, bytes] = {}
+        self.letters = None
+        with open(tokenizer_file, encoding="utf-8") as f:
+            form = json.load(f)
+        suffix = form["model"].get("end_of_word_suffix")
+        splitter = (form.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        pattern = (splitter[0].get("pattern") or {}).get("Regex", "")
+        steps = [x["type"] for x in (form.get("normalizer") or {}).get("normalizers", [])]
+        if suffix and r"[\p{L}]+" in pattern.split("|") and splitter[0].get("invert") and steps == ["NFC", "Replace", "Lowercase"]:
+            self.letters = Tokenizer.from_file(tokenizer_file)
+            self.letters.normalizer = normalizers.Sequence([])
+            self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            vocabulary = self.model.get_vocab()
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.model.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self.letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)] if len(cuts) == len(words) else self._each(words)
+
+    def learn(self, new: list[bytes]) -> None:
+        fast, rest = [], []
+        for piece in new:
+            found = self.letters and _LETTERS.fullmatch(text := piece.decode())
+            if found:
+                fast.append((piece, found.group(1).lower(), found.group(2)))
+            else:
+                rest.append(piece)
+        ends = dict(zip(".,", self._each([".", ","]), strict=True)) | {"": b""}
+        for lo in range(0, len(fast), 1000):
+            part = fast[lo : lo + 1000]
+            for (piece, _, end), ids in zip(part, self._together([word for _, word, _ in part]), strict=True):
+                self.memo[piece] = ids + ends[end]
+        for lo in range(0, len(rest), 1000):
+            part = rest[lo : lo + 1000]
+            self.memo.update(zip(part, self._each([p.decode() for p in part]), strict=True))
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        cut = [text.split() for text in texts]
+        new = set().union(*cut).difference(self.memo)
+        if len(self.memo) + len(new) > MEMO_WORDS:
+            self.memo.clear()
+            new = set().union(*cut)
+        self.learn(list(new))
+        return [b"".join(map(self.memo.__getitem__, pieces)) for pieces in cut]
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(tokenizer_file: str) -> Encoder:
+    """The worker's encoder, which later tasks find with the words that it knows."""
+    if tokenizer_file not in _ENCODERS:
+        _ENCODERS[tokenizer_file] = Encoder(tokenizer_file)
+    return _ENCODERS[tokenizer_file]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID) -> None:
@@ -68,8 +121,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     tail = end_id.to_bytes(4, "little")
 
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         of, at = encoder(tokenizer_file), 0
         for part in parts:

@@ -64,9 +64,20 @@ def test_files_have_the_encodings(spark, tmp_path):
 
 def test_long_memo_is_forgotten(monkeypatch):
     monkeypatch.setattr(token_files, "MEMO_WORDS", 3)
-    of = token_files.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    of = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
     model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     texts = ["a b c d e", "f g", "a b", ""]
     want = [np.array(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert of([t.encode() for t in texts]) == want
 
+
+
+def test_pieces_of_letters():
+    of = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["Straße, ÉCOLE. Ñandú ÿ Ÿ æther don't l'été x. , . a.b a,, ok.. ÀÉÎÕÜ÷× I İ ıs", "é e\u0301 ﬁn K Å Å. \u1e9e naïve, 123. 1a a1 ½ __init__ zzz###"]
+    want = [np.array(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert of.letters is not None and of([t.encode() for t in texts]) == want
+    of.letters = None
+    of.memo.clear()
+    assert of([t.encode() for t in texts]) == want
