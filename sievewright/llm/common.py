@@ -8,7 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Words of a text: runs of anything but ASCII white space (bytes.split() cuts at the same bytes).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,6 +48,21 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return out
 
 
+def numbered(df: DataFrame, order: list[str], name: str = "_number") -> DataFrame:
+    """df with the place of each row in the order of columns, from 0; ties in any order.
+
+    Ranges of the order are dealt out, sorted and written; a row's place is its
+    file's start and its index there, so no task holds a whole group.
+    """
+    spark, path = df.sparkSession, new_table(df.sparkSession, "numbered")
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.option("compression", "zstd").parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy("_file").count()
+    place = Window.orderBy(F.regexp_extract("_file", r"^part-(\d+)", 1).cast("long"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", F.coalesce(F.sum("count").over(place), F.lit(0)).alias("_before"))
+    return rows.join(files, "_file").select(*df.columns, (F.col("_before") + F.col("_row")).alias(name))
+
+
 def forget(*tables: DataFrame) -> None:
     """Deletes written tables that no later result reads."""
     for df in tables:

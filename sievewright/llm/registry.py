@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import license_scan, mixing, near_dup, ogg_media, token_files, toxicity
+from . import license_scan, mixing, near_dup, ogg_media, packing, quote_threads, token_files, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_packing": packing.op4_packing,
     "op6_ogg_media": ogg_media.op6_ogg_media,
     "op7_token_files": token_files.op7_token_files,
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_license_scan": license_scan.op9_license_scan,
+    "op10_quote_threads": quote_threads.op10_quote_threads,
 }
 ORACLES: dict[str, str] = {
     "op9_license_scan": license_scan.oracle(),

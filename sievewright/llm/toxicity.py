@@ -2,8 +2,8 @@
 
 A word's vector is the mean of the vectors of its byte n-grams (with marks for
 its ends) and of the whole word, all in one hashed table; a text's vector is the
-mean over its words, scaled by the root of their number (a plain mean loses a few
-words in a long text); two linear outputs and a softmax follow. Misspelt and
+mean over its words (repeats count by their logarithm), scaled by the root of
+their number (a plain mean loses a few words in a long text); two linear outputs and a softmax follow. Misspelt and
 unseen words share n-gram vectors with those seen. Table and outputs are fitted
 together on the driver from a bounded sample of labelled rows. As everything up to the
 softmax is linear, scoring needs one number a table row, so the broadcast model
@@ -15,6 +15,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import log
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +59,11 @@ def plain(piece: bytes) -> bytes:
     return piece.strip(_EDGES) or piece
 
 
+def weights(text: bytes) -> dict[bytes, float]:
+    """The text's words with their weights: 1 + log of the count, so that a word repeated over and over doesn't decide."""
+    return {w: 1.0 if c == 1 else 1.0 + log(c) for w, c in Counter(text.lower().split()).items()}
+
+
 @dataclass
 class Model:
     """weight: for each table row, by how much it moves the logit of label 1; bias: the logit of an empty text."""
@@ -73,15 +80,16 @@ class Model:
         memo: dict[bytes, float] = {}
 
         def score(texts: list[bytes]) -> list[float]:
-            cut = [t.lower().split() for t in texts]
-            new = list(set().union(*cut).difference(memo)) if cut else []
+            bags = [weights(t) for t in texts]
+            new = list(set().union(*bags).difference(memo)) if bags else []
             if len(memo) + len(new) > MEMO_WORDS:
                 memo.clear()
-                new = list(set().union(*cut))
+                new = list(set().union(*bags))
             for lo in range(0, len(new), 20_000):
                 part = new[lo : lo + 20_000]
                 memo.update(zip(part, self.word_logits([plain(p) for p in part]).tolist(), strict=True))
-            logits = np.array([sum(map(memo.__getitem__, p)) / len(p) ** 0.5 if p else 0.0 for p in cut]) + self.bias
+            sums = [sum(map(mul, map(memo.__getitem__, bag), bag.values())) / sum(bag.values()) ** 0.5 if bag else 0.0 for bag in bags]
+            logits = np.array(sums) + self.bias
             return (1 / (1 + np.exp(-np.clip(logits, -500, 500)))).tolist()
 
         return score
@@ -104,12 +112,12 @@ class _Texts:
         number: dict[bytes, int] = {}
         words, parts, ends = [], [], [0]
         for text in texts:
-            bag = Counter(plain(p) for p in text.lower().split()) or Counter([b""])
-            root = bag.total() ** 0.5
+            bag = weights(text) or {b"": 1.0}
+            root = sum(bag.values()) ** 0.5
             words += [number.setdefault(w, len(number)) for w in bag]
             parts += [c / root for c in bag.values()]
             ends.append(len(words))
-        of, rows = subwords(list(number))
+        of, rows = subwords(list(map(plain, number)))
         order = np.argsort(of, kind="stable")
         of, rows = of[order].astype(np.int32), rows[order].astype(np.int32)
         per_word = np.bincount(of).astype(np.float32)
