@@ -6,7 +6,7 @@ classes: a node chooses BRANCHES signature places by a hash of its path, and eac
 the children named by its values there, so similar classes stay together at
 some child of every level and others part quickly. In a node of up to
 SMALL classes all are compared by signature; in a larger one all with its
-first class, then it branches again while it holds classes that are not yet known to be connected.
+first class, and it branches again if it holds classes not known to be connected.
 Candidates are confirmed on full sets. As only connection
 counts, no pair is looked at whose classes are already connected, so a large group of
 near copies costs a star, not its square. Nodes that are still large
@@ -84,10 +84,11 @@ def _values(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, PLACES)
 
 
-_ROWS = pa.schema([("node", pa.int64()), ("cid", pa.int64())])
+_ROWS = pa.schema([("node", pa.int64()), ("cid", pa.int64()), ("comp", pa.int64())])
+_ROW_COLUMNS = "node long, cid long, comp long"
 
 
-def _branch(node: np.ndarray, cid: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _branch(node: np.ndarray, cid: np.ndarray, comp: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The children of each class: BRANCHES different places chosen by the node's hash."""
     node = node.astype(np.uint64)
     at = mixed(node + np.uint64(0x9E3779B97F4A7C15))
@@ -97,20 +98,20 @@ def _branch(node: np.ndarray, cid: np.ndarray, values: np.ndarray) -> Iterator[p
         place = (first + k * stride.astype(np.int64)) % PLACES
         value = values[np.arange(len(values)), place].astype(np.uint64)
         child = mixed(mixed(node + np.uint64(k + 1)) ^ (value * np.uint64(0xD6E8FEB86659FD93) + place.astype(np.uint64)))
-        yield pa.RecordBatch.from_arrays([pa.array(child.astype(np.int64)), pa.array(cid)], schema=_ROWS)
+        yield pa.RecordBatch.from_arrays([pa.array(child.astype(np.int64)), pa.array(cid), pa.array(comp)], schema=_ROWS)
 
 
 def _roots(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
         values, cid = _values(part["sig"]), part["cid"].to_numpy(zero_copy_only=False)
         for tree in range(TREES):
-            yield from _branch(np.full(len(cid), tree + 1, np.int64), cid, values)
+            yield from _branch(np.full(len(cid), tree + 1, np.int64), cid, cid, values)
 
 
 def _children(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
         if part.num_rows:
-            yield from _branch(part["node"].to_numpy(zero_copy_only=False), part["cid"].to_numpy(zero_copy_only=False), _values(part["sig"]))
+            yield from _branch(*(part[c].to_numpy(zero_copy_only=False) for c in ("node", "cid", "comp")), _values(part["sig"]))
 
 
 def _may_link(n_a: np.ndarray, n_b: np.ndarray, low_a: np.ndarray, low_b: np.ndarray) -> np.ndarray:
@@ -260,14 +261,12 @@ def components(links: DataFrame) -> DataFrame:
         near = both.join(labels, both["b"] == labels["cid"]).groupBy("a").agg(F.min("comp").alias("m"))
         step = labels.join(near, labels["cid"] == near["a"]).select("cid", F.col("comp").alias("was"), F.least("comp", "m").alias("via"))
         above = labels.select(F.col("cid").alias("via"), F.col("comp").alias("jump"))
-        new = written(step.join(above, "via").select("cid", "was", F.least("via", "jump").alias("comp")), "near-labels")
-        changed = new.where("comp <> was").limit(1).count()
+        new = written(step.join(above, "via").select("cid", F.least("via", "jump").alias("comp"), "was"), "near-labels")
         forget(labels)
-        labels = new.select("cid", "comp")
-        labels._written_at = new._written_at
-        if not changed:
+        labels = new
+        if labels.where("comp < was").isEmpty():
             forget(both)
-            return labels
+            return labels.select("cid", "comp")
 
 
 def _with_comp(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -312,36 +311,50 @@ class _Search:
         pairs = held.where(F.col("cid") != F.col("leader")).join(self.low, "cid").join(lead, "leader")
         return pairs.select("node", "cid", "n", "low", "leader", "leader_n", "leader_low").mapInArrow(_stars, _EDGE_COLUMNS)
 
-    def compare(self, held: DataFrame) -> None:
-        """Small nodes whole, large ones with their first class. Where an edge of a small
-        node's forest was refused and others were held back, those follow."""
+    def first_edges(self, held: DataFrame) -> DataFrame:
+        """Small nodes' forests and large ones' stars, tried; a written table."""
         small, large = held.where(F.col("size") <= SMALL), held.where(F.col("size") > SMALL)
         edges = written(self.forests(small, False).unionByName(self.stars(large)), "near-edges")
         self.confirm(edges.select("a", "b"))
+        return edges
+
+    def held(self, rows: DataFrame, last: bool) -> tuple[DataFrame, bool]:
+        """The rows in nodes of more than one connected class, with the node's size and first class; whether some are in large nodes."""
+        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("leader"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+        found = rows.join(nodes.select("node", "size", "leader"), "node")
+        found = written(_cells(found) if last else found, "near-held")
+        return found, not found.where(F.col("size") > SMALL).isEmpty()
+
+    def run(self) -> DataFrame | None:
+        """All trees, level by level. The first level's edges are tried at once, so that
+        large groups of near copies are connected and stay out of the levels below;
+        the edges of those are tried together. Where an edge of a small node's forest is
+        refused and others were held back, these follow at the end."""
+        rows = written(self.classes.select("cid", "sig").mapInArrow(_roots, _ROW_COLUMNS), "near-rows")
+        held, large = self.held(rows, False)
+        edges, every = self.first_edges(held), held
+        forget(rows)
+        deeper = None
+        for depth in range(1, DEPTH + 1):
+            if not large:
+                break
+            rows = held.where(F.col("size") > SMALL).select("node", "cid", "comp")
+            if depth == 1:
+                rows = _with_comp(rows.drop("comp"), self.labels)
+                mixed_nodes = rows.groupBy("node").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+                rows = rows.join(mixed_nodes.select("node"), "node", "left_semi")
+            if depth < DEPTH:
+                rows = rows.join(self.classes.select("cid", "sig"), "cid").select("node", "cid", "comp", "sig").mapInArrow(_children, _ROW_COLUMNS)
+            held, large = self.held(written(rows, "near-rows"), depth == DEPTH)
+            deeper = held if deeper is None else deeper.unionByName(held)
+        if deeper is not None:
+            edges = edges.unionByName(self.first_edges(deeper))
+            every = every.unionByName(deeper)
         rest = edges.where("rest")
         if self.links is not None:
             rest = rest.join(self.links, ["a", "b"], "left_anti")
-        again = small.drop("comp").join(rest.select("node").distinct(), "node", "left_semi")
+        again = every.where(F.col("size") <= SMALL).drop("comp").join(rest.select("node").distinct(), "node", "left_semi")
         self.confirm(self.forests(_with_comp(again, self.labels), True).select("a", "b"))
-
-    def run(self) -> DataFrame | None:
-        rows = self.classes.select("cid", "sig").mapInArrow(_roots, "node long, cid long")
-        for depth in range(DEPTH + 1):
-            rows = _with_comp(written(rows, "near-rows"), self.labels)
-            open_nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("leader"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-            held = rows.join(open_nodes.select("node", "size", "leader"), "node")
-            if depth == DEPTH:
-                self.compare(written(_cells(held), "near-held"))
-                break
-            held = written(held, "near-held")
-            self.compare(held)
-            large = _with_comp(held.where(F.col("size") > SMALL).drop("comp"), self.labels)
-            still = large.groupBy("node").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("node")
-            rows = written(large.join(still, "node", "left_semi").select("node", "cid"), "near-open")
-            if rows.isEmpty():
-                break
-            if depth + 1 < DEPTH:
-                rows = rows.join(self.classes.select("cid", "sig"), "cid").select("node", "cid", "sig").mapInArrow(_children, "node long, cid long")
         return self.labels
 
 
