@@ -15,10 +15,12 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import compress, islice
+from operator import add, not_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import blobs, new_table
@@ -51,6 +53,7 @@ class Encoder:
         self.model = Tokenizer.from_file(tokenizer_file)
         self.memo: dict[bytes, bytes] = {}
         self.letters = None
+        self.end = {"": b""} | dict(zip(".,", self._each([".", ","]), strict=True))
         with open(tokenizer_file, encoding="utf-8") as f:
             form = json.load(f)
         suffix = form["model"].get("end_of_word_suffix")
@@ -75,30 +78,40 @@ class Encoder:
         return [data[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)] if len(cuts) == len(words) else self._each(words)
 
     def learn(self, new: list[bytes]) -> None:
-        fast, rest = [], []
+        fast, words, ends, rest = [], [], [], []
         for piece in new:
-            found = self.letters and _LETTERS.fullmatch(text := piece.decode())
-            if found:
-                fast.append((piece, found.group(1).lower(), found.group(2)))
+            if self.letters is None:
+                rest.append(piece)
+            elif piece.isalpha():
+                fast.append(piece)
+                words.append(piece.lower().decode())
+                ends.append(b"")
+            elif found := _LETTERS.fullmatch(piece.decode()):
+                fast.append(piece)
+                words.append(found.group(1).lower())
+                ends.append(self.end[found.group(2)])
             else:
                 rest.append(piece)
-        ends = dict(zip(".,", self._each([".", ","]), strict=True)) | {"": b""}
         for lo in range(0, len(fast), 1000):
-            part = fast[lo : lo + 1000]
-            for (piece, _, end), ids in zip(part, self._together([word for _, word, _ in part]), strict=True):
-                self.memo[piece] = ids + ends[end]
+            ids = self._together(words[lo : lo + 1000])
+            self.memo.update(zip(fast[lo : lo + 1000], map(add, ids, ends[lo : lo + 1000]), strict=True))
         for lo in range(0, len(rest), 1000):
             part = rest[lo : lo + 1000]
             self.memo.update(zip(part, self._each([p.decode() for p in part]), strict=True))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         cut = [text.split() for text in texts]
-        new = set().union(*cut).difference(self.memo)
+        found = [list(map(self.memo.get, pieces)) for pieces in cut]
+        holes = [list(compress(range(len(ids)), map(not_, ids))) for ids in found]
+        new = {pieces[i] for pieces, at in zip(cut, holes, strict=True) for i in at}
         if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo.clear()
-            new = set().union(*cut)
+            # Words that were met first are mostly the frequent ones; found has what is needed now.
+            self.memo = dict(islice(self.memo.items(), MEMO_WORDS // 3))
         self.learn(list(new))
-        return [b"".join(map(self.memo.__getitem__, pieces)) for pieces in cut]
+        for pieces, ids, at in zip(cut, found, holes, strict=True):
+            for i in at:
+                ids[i] = self.memo[pieces[i]]
+        return [b"".join(ids) for ids in found]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -111,6 +124,38 @@ def encoder(tokenizer_file: str) -> Encoder:
     return _ENCODERS[tokenizer_file]
 
 
+def _ranged(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text) dealt by ranges of doc_id and sorted inside them, null ids first.
+
+    The ranges' bounds come from the ids alone, so texts are read once. An id that
+    fills several ranges is dealt among them by a hash of the text, which also
+    orders rows of one id.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = sorted(rows.select(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 20 * n)).first()[0] or []) if n > 1 else []
+    tie = F.xxhash64("text")
+    if bounds:
+        literal = F.array(*(F.lit(b).cast("long") for b in bounds))
+        steps = F.array(*(F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))))
+
+        def before(also_equal: bool) -> Column:
+            """How many bounds lie below the id (or at it): a binary search."""
+
+            def go(place: Column, step: Column) -> Column:
+                bound = F.get(literal, place + step - 1)
+                within = bound <= F.col("doc_id") if also_equal else bound < F.col("doc_id")
+                return place + F.when(F.coalesce(within, F.lit(False)), step).otherwise(0)
+
+            return F.aggregate(steps, F.lit(0), go)
+
+        rows = rows.withColumn("_to", before(True)).withColumn("_equal", F.col("_to") - before(False))
+        share = (F.lit(float(1 << 63)) - tie) / float(1 << 64)
+        rows = rows.repartitionById(len(bounds) + 1, (F.col("_to") - F.least(F.floor(share * F.col("_equal")), F.col("_equal") - 1).cast("int") * (F.col("_equal") > 0).cast("int")).cast("int"))
+    else:
+        rows = rows.repartition(1)
+    return rows.sortWithinPartitions("doc_id", tie).select("doc_id", "text")
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID) -> None:
     """Encodes all of docs (doc_id, text; other columns are left out) and writes the files to path.
 
@@ -136,13 +181,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
                 values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(ids))])
                 yield pa.RecordBatch.from_arrays([cut["doc_id"], pa.array(starts, pa.int64()), pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], schema=_FILE)
 
-    ranged = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-        .withColumn("_tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "_tie")
-        .sortWithinPartitions("doc_id", "_tie")
-        .select("doc_id", "text")
-    )
+    ranged = _ranged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")))
     options = {
         "compression": "zstd",
         "parquet.block.size": str(ROW_GROUP_BYTES),

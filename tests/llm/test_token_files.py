@@ -53,7 +53,7 @@ def test_files_have_the_encodings(spark, tmp_path):
 
     path = f"{tmp_path}/out"
     token_files.write_tokens(spark.createDataFrame(ROWS, "doc_id long, text string, x string"), path, public_tokenizers.path("word_bpe_49k.json"))
-    files = sorted(tmp_path.glob("out/part-*"))
+    files = sorted(tmp_path.glob("out/part-*"), key=lambda f: -f.stat().st_size)
     group = pq.ParquetFile(files[0]).metadata.row_group(0)
     columns = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
     assert "DELTA_BINARY_PACKED" in columns["doc_id"].encodings
@@ -81,3 +81,16 @@ def test_pieces_of_letters():
     of.letters = None
     of.memo.clear()
     assert of([t.encode() for t in texts]) == want
+
+
+def test_an_id_that_fills_several_ranges(spark, tmp_path):
+    rows = [(7, f"text {i}", "x") for i in range(300)] + [(i, "some", "x") for i in range(5, 12)] + [(None, "none", "x")] * 40
+    got = run(spark, tmp_path, rows)
+    texts = sorted(brute(rows), key=str)
+    assert sorted((r[0], r[2], r[3]) for r in got if r[0] is not None) == sorted((r[0], r[2], r[3]) for r in texts if r[0] is not None)
+    ids = [r[0] for r in got]
+    assert ids == [None] * 40 + sorted(i for i in ids if i is not None)
+    at = 0
+    for _, start, n, _ in got:
+        assert start == at
+        at += n
