@@ -2,7 +2,7 @@
 
 A document's set is that of its five-word shingles. Documents of equal sets form
 one class at once; a class has a MinHash signature. Independent trees branch the
-classes: a node chooses BRANCHES signature places by a hash of its path, and each class goes to
+classes: a node chooses signature places by a hash of its path, and each class goes to
 the children named by its values there, so similar classes stay together at
 some child of every level and others part quickly. In a node of up to
 SMALL classes all are compared by signature; in a larger one all with its
@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from .common import batches, blobs, forget, mixed, written
 
 SHINGLE, NUMERATOR = 5, 85
-#: Signature places, trees, branches of a node. Two equal places are missed by both branches with chance 0.15 ** 2 a level.
-PLACES, TREES, BRANCHES = 128, 5, 2
+#: Signature places, trees, branches of a root, chance that another node has two. At the threshold a
+#: pair is missed by a tree's first level with chance 0.15 ** 2, by its first four with 0.16, by all trees with 2e-5.
+PLACES, TREES, ROOT_BRANCHES, SECOND = 128, 6, 2, 0.18
+SEED = 8
 SMALL, DEPTH = 64, 8
 #: Of 128 low bytes a pair at the threshold shares 109 +- 4; fewer than this is 5 deviations off.
 AGREE = 88
@@ -80,38 +82,34 @@ def sketch(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp binary, n_shingles long, sig binary")
 
 
-def _values(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, PLACES)
+def _child(place: Column) -> Column:
+    """The child of a node that a class goes to by its value at place."""
+    return F.xxhash64("node", place, F.substring("sig", place * 4 + 1, F.lit(4))).alias("child")
 
 
-_ROWS = pa.schema([("node", pa.int64()), ("cid", pa.int64()), ("comp", pa.int64())])
-_ROW_COLUMNS = "node long, cid long, comp long"
+def _roots(classes: DataFrame) -> DataFrame:
+    """Every class in every tree, at ROOT_BRANCHES different places of each."""
+    rng = np.random.default_rng(SEED)
+    ways = [F.struct(F.lit(tree).cast("long").alias("node"), F.lit(int(place)).alias("place")) for tree in range(TREES) for place in rng.choice(PLACES, ROOT_BRANCHES, replace=False)]
+    rows = classes.select("cid", F.col("n_shingles").alias("n"), "sig", F.explode(F.array(*ways)).alias("w")).select("cid", "n", "sig", "w.node", "w.place")
+    return rows.select(_child(F.col("place")).alias("node"), "cid", "n", F.col("cid").alias("comp"))
 
 
-def _branch(node: np.ndarray, cid: np.ndarray, comp: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The children of each class: BRANCHES different places chosen by the node's hash."""
-    node = node.astype(np.uint64)
-    at = mixed(node + np.uint64(0x9E3779B97F4A7C15))
-    first = (at % np.uint64(PLACES)).astype(np.int64)
-    stride = (at >> np.uint64(32)) % np.uint64(PLACES - 1) + np.uint64(1)
-    for k in range(BRANCHES):
-        place = (first + k * stride.astype(np.int64)) % PLACES
-        value = values[np.arange(len(values)), place].astype(np.uint64)
-        child = mixed(mixed(node + np.uint64(k + 1)) ^ (value * np.uint64(0xD6E8FEB86659FD93) + place.astype(np.uint64)))
-        yield pa.RecordBatch.from_arrays([pa.array(child.astype(np.int64)), pa.array(cid), pa.array(comp)], schema=_ROWS)
+def _by_size(rows: DataFrame) -> DataFrame:
+    """Nodes cut by size: each class goes to its own size's child and to the next, and sizes within the threshold share one. Nothing is lost by it."""
+    own = F.floor(F.log("n") / np.log(1 / (NUMERATOR / 100 - 0.001)))
+    return rows.withColumn("_size", F.explode(F.array(own, own + 1))).select(F.xxhash64("node", "_size").alias("node"), "cid", "n", "comp")
 
 
-def _roots(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        values, cid = _values(part["sig"]), part["cid"].to_numpy(zero_copy_only=False)
-        for tree in range(TREES):
-            yield from _branch(np.full(len(cid), tree + 1, np.int64), cid, cid, values)
-
-
-def _children(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        if part.num_rows:
-            yield from _branch(*(part[c].to_numpy(zero_copy_only=False) for c in ("node", "cid", "comp")), _values(part["sig"]))
+def _children(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each node's one place, or two with chance SECOND, by its hash: classes at the threshold
+    meet again in one child on average, less similar ones die out."""
+    h = F.xxhash64("node", F.lit(SEED))
+    first = F.pmod(h, F.lit(PLACES)).cast("int")
+    second = F.pmod(first + 1 + F.pmod(F.shiftright(h, 32), F.lit(PLACES - 1)), F.lit(PLACES)).cast("int")
+    two = F.pmod(F.shiftright(h, 12), F.lit(1000)) < int(1000 * SECOND)
+    dealt = rows.withColumn("place", F.explode(F.when(two, F.array(first, second)).otherwise(F.array(first))))
+    return dealt.join(classes.select("cid", "sig"), "cid").select(_child(F.col("place")).alias("node"), "cid", "n", "comp")
 
 
 def _may_link(n_a: np.ndarray, n_b: np.ndarray, low_a: np.ndarray, low_b: np.ndarray) -> np.ndarray:
@@ -302,13 +300,15 @@ class _Search:
 
     def forests(self, held: DataFrame, every: bool) -> DataFrame:
         """Edges inside the nodes of held, each of which has few members."""
-        members = held.join(self.low, "cid").groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp")).alias("members"))
+        members = held.select("node", "cid", "comp").join(self.low, "cid").groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp")).alias("members"))
         return members.mapInArrow(_forests(every), _EDGE_COLUMNS)
 
     def stars(self, held: DataFrame) -> DataFrame:
-        """Edges from the first class of each node of held."""
-        lead = self.low.select(F.col("cid").alias("leader"), F.col("n").alias("leader_n"), F.col("low").alias("leader_low"))
-        pairs = held.where(F.col("cid") != F.col("leader")).join(self.low, "cid").join(lead, "leader")
+        """Edges from the first class of each node of held; only pairs whose sizes allow them are looked at."""
+        lead = self.low.select(F.col("cid").alias("leader"), F.col("low").alias("leader_low"))
+        sizes = 100 * F.least("n", "leader_n") >= NUMERATOR * F.greatest("n", "leader_n")
+        pairs = held.where((F.col("comp") != F.col("leader_comp")) & sizes).select("node", "cid", "n", "leader", "leader_n")
+        pairs = pairs.dropDuplicates(["cid", "leader"]).join(self.low.select("cid", "low"), "cid").join(lead, "leader")
         return pairs.select("node", "cid", "n", "low", "leader", "leader_n", "leader_low").mapInArrow(_stars, _EDGE_COLUMNS)
 
     def first_edges(self, held: DataFrame) -> DataFrame:
@@ -320,8 +320,9 @@ class _Search:
 
     def held(self, rows: DataFrame, last: bool) -> tuple[DataFrame, bool]:
         """The rows in nodes of more than one connected class, with the node's size and first class; whether some are in large nodes."""
-        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("leader"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-        found = rows.join(nodes.select("node", "size", "leader"), "node")
+        first = [F.min_by(c, "cid").alias(f"leader_{c}") for c in ("n", "comp")]
+        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("leader"), *first, F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+        found = rows.join(nodes.drop("c0", "c1"), "node")
         found = written(_cells(found) if last else found, "near-held")
         return found, not found.where(F.col("size") > SMALL).isEmpty()
 
@@ -330,7 +331,7 @@ class _Search:
         large groups of near copies are connected and stay out of the levels below;
         the edges of those are tried together. Where an edge of a small node's forest is
         refused and others were held back, these follow at the end."""
-        rows = written(self.classes.select("cid", "sig").mapInArrow(_roots, _ROW_COLUMNS), "near-rows")
+        rows = written(_roots(self.classes), "near-rows")
         held, large = self.held(rows, False)
         edges, every = self.first_edges(held), held
         forget(rows)
@@ -338,13 +339,11 @@ class _Search:
         for depth in range(1, DEPTH + 1):
             if not large:
                 break
-            rows = held.where(F.col("size") > SMALL).select("node", "cid", "comp")
+            rows = held.where(F.col("size") > SMALL).select("node", "cid", "n", "comp")
             if depth == 1:
-                rows = _with_comp(rows.drop("comp"), self.labels)
-                mixed_nodes = rows.groupBy("node").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-                rows = rows.join(mixed_nodes.select("node"), "node", "left_semi")
-            if depth < DEPTH:
-                rows = rows.join(self.classes.select("cid", "sig"), "cid").select("node", "cid", "comp", "sig").mapInArrow(_children, _ROW_COLUMNS)
+                rows = _by_size(_with_comp(rows.drop("comp"), self.labels))
+            elif depth < DEPTH:
+                rows = _children(rows, self.classes)
             held, large = self.held(written(rows, "near-rows"), depth == DEPTH)
             deeper = held if deeper is None else deeper.unionByName(held)
         if deeper is not None:
@@ -353,7 +352,7 @@ class _Search:
         rest = edges.where("rest")
         if self.links is not None:
             rest = rest.join(self.links, ["a", "b"], "left_anti")
-        again = every.where(F.col("size") <= SMALL).drop("comp").join(rest.select("node").distinct(), "node", "left_semi")
+        again = every.where(F.col("size") <= SMALL).select("node", "cid").join(rest.select("node").distinct(), "node", "left_semi")
         self.confirm(self.forests(_with_comp(again, self.labels), True).select("a", "b"))
         return self.labels
 
@@ -364,7 +363,7 @@ def _cells(held: DataFrame) -> DataFrame:
     mine = F.pmod(F.xxhash64("cid"), F.col("blocks"))
     dealt = held.withColumn("blocks", blocks).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cell = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
-    return dealt.select("cid", cell.alias("node"), "comp", F.lit(1).cast("long").alias("size"), "leader").select("node", "cid", "comp", "size", "leader")
+    return dealt.withColumn("node", cell).withColumn("size", F.lit(1).cast("long")).drop("blocks", "mine", "other")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
