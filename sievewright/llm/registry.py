@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import license_scan, mixing, near_dup, ogg_media, packing, quote_threads, token_files, toxicity
+from . import context_lm, license_scan, mixing, near_dup, ogg_media, packing, quote_threads, token_files, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_context_lm": context_lm.op2_context_lm,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
     "op6_ogg_media": ogg_media.op6_ogg_media,
