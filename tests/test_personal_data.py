@@ -1,0 +1,70 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from sievewright.config import PersonalData
+from sievewright.functions import pii
+from sievewright.operators import personal_data
+
+VECTORS = [
+    ("연락처 010-1234-5678", [("phone", "010-1234-5678", "4-17"), ("account", "010-1234-5678", "4-17")], "연락처 [PII]"),
+    ("2024-05-12 접수", [("account", "2024-05-12 ", "0-11")], "[PII]접수"),
+    ("900101-1234567", [("rrn", "900101-1234567", "0-14"), ("account", "900101-1234567", "0-14")], "[PII]"),
+    ("▲▲ 홍길동 ▲▲", [("mask_leak_name", "홍길동", "0-9")], "▲▲ [PII] ▲▲"),
+    ("▲ 홍길동 ▲ 김철수 ▲", [("mask_leak_name", "홍길동", "0-7")], "▲ [PII] ▲ 김철수 ▲"),
+    ("서울특별시 강남구 테헤란로 123", [("address_detail", "서울특별시 강남구 테헤란로 123", "0-18")], "[PII]"),
+    ("a.b@c.co", [("email", "a.b@c.co", "0-8")], "[PII]"),
+    ("", [], ""),
+]
+
+
+def run(spark, texts, rules=PersonalData()):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string")
+    df = df.withColumn("f", pii.findings(F.col("x"), rules)).withColumn("m", pii.masked(F.col("x"), F.col("f"), rules.token))
+    return df.orderBy("i").collect()
+
+
+def test_vectors(spark):
+    for (text, want, masked), row in zip(VECTORS, run(spark, [v[0] for v in VECTORS]), strict=True):
+        assert [tuple(f) for f in row.f] == want, text
+        assert row.m == masked
+
+
+@pytest.mark.parametrize("kind", list(pii.PATTERNS))
+def test_places_equal_pythons(spark, kind):
+    """The same pattern, tried by another engine."""
+    texts = ["x😀 010-1234-5678 02.123.4567 0311234567 90", "a@b.co,c.d@e.fgh ▲ 가나 ▲ ▲▲ 다라마바 ▲", "900101-1234567 9001011234567 1234-56-789012-345 경기도 수원시 영통동 12 부산 북구 만덕로 7", "", "none"]
+    python = re.compile(pii.PATTERNS[kind].replace("(?U)", ""))
+    only = PersonalData(**{k: k == kind for k in pii.PATTERNS})
+    for text, row in zip(texts, run(spark, texts, only), strict=True):
+        assert [(f.match, f.span) for f in row.f] == [(m.group(pii.GROUPS.get(kind, 0)), f"{m.start()}-{m.end()}") for m in python.finditer(text)]
+
+
+ROWS = [(0, "call 010-1234-5678", "a@b.co", "fine"), (1, "nothing", "at", "all"), (2, None, "x", "900101-1234567 and 900101-1234567")]
+
+
+@pytest.fixture
+def found(spark):
+    return personal_data.with_findings(spark.createDataFrame(ROWS, "seq long, instruction string, input string, output string"))
+
+
+def test_actions_and_reports(found):
+    flagged = {r.seq: r[personal_data.FLAGS] for r in personal_data.act(found).collect()}
+    assert flagged[1] is None and [f.field for f in flagged[0]] == ["instruction", "instruction", "input"]
+    assert {f.record_idx for f in flagged[2]} == {2}
+    masked = {r.seq: r for r in personal_data.act(found, PersonalData(action="mask")).collect()}
+    assert masked[0].input == "[PII]" and masked[2].output == "[PII] and [PII]" and masked[1].output == "all"
+    assert [r.seq for r in personal_data.act(found, PersonalData(action="drop")).collect()] == [1]
+    counts = {r.type: r["count"] for r in personal_data.type_counts(found).collect()}
+    assert sum(counts.values()) == personal_data.findings_report(found).count()
+    assert tuple(personal_data.flagged_count(found).first()) == (3, 2)
+
+
+def test_types_can_be_left_out_and_actions_are_checked(spark):
+    rules = PersonalData(account=False, phone=False)
+    assert [f.type for f in run(spark, ["010-1234-5678 a@b.co"], rules)[0].f] == ["email"]
+    none = PersonalData(**dict.fromkeys(pii.PATTERNS, False))
+    assert run(spark, ["a@b.co"], none)[0].f == []
+    with pytest.raises(ValueError, match="action"):
+        PersonalData(action="shred")
