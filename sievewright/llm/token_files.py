@@ -16,7 +16,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from itertools import compress, islice
-from operator import add, not_
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,9 @@ ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 256 << 10
 _FILE = pa.schema([("doc_id", pa.int64()), ("file_offset", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-#: A word of plain Latin letters, with a full stop or comma or without.
-_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Pieces of plain Latin letters, digits and ASCII signs but the apostrophe, and the words that the tokenizer makes of them.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\\[-`{-~]+")
+_WORDS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
 
 
 class Encoder:
@@ -42,9 +43,10 @@ class Encoder:
 
     The tokenizer's normaliser and splitter act inside a piece between ASCII white
     space, and no piece's ids depend on its neighbours, so each distinct piece is
-    encoded once for each worker and then looked up. Where a run of letters is one
-    word of the tokenizer and its last token says that it ends the word, pieces of plain
-    letters are encoded many together, without normaliser and splitter, and cut at these tokens.
+    encoded once for each worker and then looked up. Where the tokenizer's words are runs of
+    letters, single digits and runs of signs, and a word's last token says that it ends the
+    word, plain pieces are split here, encoded many together without normaliser
+    and splitter, and cut at these tokens.
     """
 
     def __init__(self, tokenizer_file: str) -> None:
@@ -53,7 +55,6 @@ class Encoder:
         self.model = Tokenizer.from_file(tokenizer_file)
         self.memo: dict[bytes, bytes] = {}
         self.letters = None
-        self.end = {"": b""} | dict(zip(".,", self._each([".", ","]), strict=True))
         with open(tokenizer_file, encoding="utf-8") as f:
             form = json.load(f)
         suffix = form["model"].get("end_of_word_suffix")
@@ -78,23 +79,25 @@ class Encoder:
         return [data[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)] if len(cuts) == len(words) else self._each(words)
 
     def learn(self, new: list[bytes]) -> None:
-        fast, words, ends, rest = [], [], [], []
+        fast, words, sizes, rest = [], [], [], []
         for piece in new:
             if self.letters is None:
                 rest.append(piece)
             elif piece.isalpha():
                 fast.append(piece)
                 words.append(piece.lower().decode())
-                ends.append(b"")
-            elif found := _LETTERS.fullmatch(piece.decode()):
+                sizes.append(1)
+            elif _PLAIN.fullmatch(text := piece.decode()) and "<|" not in text:
                 fast.append(piece)
-                words.append(found.group(1).lower())
-                ends.append(self.end[found.group(2)])
+                words += (parts := _WORDS.findall(text.lower()))
+                sizes.append(len(parts))
             else:
                 rest.append(piece)
-        for lo in range(0, len(fast), 1000):
-            ids = self._together(words[lo : lo + 1000])
-            self.memo.update(zip(fast[lo : lo + 1000], map(add, ids, ends[lo : lo + 1000]), strict=True))
+        ids = [x for lo in range(0, len(words), 1000) for x in self._together(words[lo : lo + 1000])]
+        at = 0
+        for piece, n in zip(fast, sizes, strict=True):
+            self.memo[piece] = ids[at] if n == 1 else b"".join(ids[at : at + n])
+            at += n
         for lo in range(0, len(rest), 1000):
             part = rest[lo : lo + 1000]
             self.memo.update(zip(part, self._each([p.decode() for p in part]), strict=True))
@@ -194,29 +197,42 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     ranged.mapInArrow(encode, "doc_id long, file_offset long, n_tokens long, ids array<int>").write.options(**options).parquet(path)
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """The files' rows with their place in the whole: doc_id, start (ids of all rows before), n_tokens, ids.
+_ROWS_SQL = "doc_id long, file_offset long, n_tokens long, ids array<int>"
 
-    Only the offset columns are read to place the files; their table has one row a file.
-    """
-    rows = spark.read.schema("doc_id long, file_offset long, n_tokens long, ids array<int>").parquet(path).withColumn("_file", F.col("_metadata.file_name"))
+
+def _files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The files' rows, and for each file the ids before it. Only the offset columns are read for the latter, which has one row a file."""
+    rows = spark.read.schema(_ROWS_SQL).parquet(path).withColumn("_file", F.col("_metadata.file_name"))
     files = rows.groupBy("_file").agg(F.max(F.col("file_offset") + F.col("n_tokens")).alias("_all"))
     number = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("long")
-    files = files.select("_file", (F.sum("_all").over(Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"))
-    return rows.join(files, "_file").select("doc_id", (F.coalesce("_before", F.lit(0)) + F.col("file_offset")).alias("start"), "n_tokens", "ids")
+    before = F.sum("_all").over(Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1))
+    return rows, files.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """The files' rows with their place in the whole: doc_id, start (ids of all rows before), n_tokens, ids."""
+    rows, files = _files(spark, path)
+    return rows.join(files, "_file").select("doc_id", (F.col("_before") + F.col("file_offset")).alias("start"), "n_tokens", "ids")
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+_SUMS = pa.schema([("doc_id", pa.int64()), ("_file", pa.string()), ("file_offset", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
 def _digest(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
         ids = part["ids"]
-        values, ends = memoryview(ids.values.cast(pa.int32()).buffers()[1]).cast("B"), ids.offsets.to_pylist()
+        values, ends = memoryview(ids.values.cast(pa.int32()).buffers()[1] or b"").cast("B"), ids.offsets.to_pylist()
         base = ids.values.offset
         sums = [zlib.crc32(values[4 * (base + a) : 4 * (base + b)]) for a, b in zip(ends, ends[1:], strict=False)]
         n = [b - a for a, b in zip(ends, ends[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([part["doc_id"], part["start"], pa.array(n, pa.int64()), pa.array(sums, pa.int64())], schema=_OUT)
+        yield pa.RecordBatch.from_arrays([part["doc_id"], part["_file"], part["file_offset"], pa.array(n, pa.int64()), pa.array(sums, pa.int64())], schema=_SUMS)
+
+
+def read_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """Every row's doc_id, start, n_tokens and ids_crc32 (of its ids as 32-bit numbers), from the files. The ids are summed where they are read."""
+    rows, files = _files(spark, path)
+    sums = rows.mapInArrow(_digest, "doc_id long, _file string, file_offset long, n_tokens long, ids_crc32 long")
+    return sums.join(files, "_file").select("doc_id", (F.col("_before") + F.col("file_offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,4 +241,4 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = new_table(spark, "tokens")
     write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.path("word_bpe_49k.json"))
-    return read_tokens(spark, path).mapInArrow(_digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_checksums(spark, path)
