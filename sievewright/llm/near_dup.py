@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import components
 from .common import batches, blobs, forget, mixed, written
 
 SHINGLE, NUMERATOR = 5, 85
@@ -29,7 +30,7 @@ SHINGLE, NUMERATOR = 5, 85
 #: pair is missed by a tree's first level with chance 0.15 ** 2, by its first four with 0.16, by all trees with 2e-5.
 PLACES, TREES, ROOT_BRANCHES, SECOND = 128, 6, 2, 0.18
 SEED = 8
-SMALL, DEPTH = 64, 8
+SMALL, DEPTH, TRIED = 64, 8, (0, 2, 4)
 #: Of 128 low bytes a pair at the threshold shares 109 +- 4; fewer than this is 5 deviations off.
 AGREE = 88
 #: Buckets of document ids that a second reading of the texts is narrowed by.
@@ -122,9 +123,10 @@ _EDGES = pa.schema([("node", pa.int64()), ("a", pa.int64()), ("b", pa.int64()),
 
 
 def _forests(every: bool):
-    """For nodes (node, members of cid, n, low, comp): edges between members that may link and are not connected.
+    """For nodes (node, members of cid, n, low, comp, nodes): edges between members that may link and are not connected.
 
-    every: all of them; otherwise a spanning forest, and whether there were others (rest).
+    every: all of them, each in the first node alone that its ends share (nodes: a
+    member's); otherwise a spanning forest, and whether there were others (rest).
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,6 +136,7 @@ def _forests(every: bool):
             cid, n, comp = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 3))
             low = np.frombuffer(b"".join(flat.field(2).to_pylist()), np.uint8).reshape(-1, PLACES)
             nodes = part["node"].to_pylist()
+            places = [set(x) for x in flat.field(4).to_pylist()] if every else []
             out: list[tuple] = []
             for lo in range(0, len(nodes), 200):
                 pairs, of = [], []
@@ -149,6 +152,9 @@ def _forests(every: bool):
                     x, y = i[at : at + 50_000], j[at : at + 50_000]
                     keep[at : at + 50_000] = _may_link(n[x], n[y], low[x], low[y])
                 i, j, k = i[keep], j[keep], k[keep]
+                if every:
+                    here = np.array([min(places[x] & places[y]) == nodes[z] for x, y, z in zip(i, j, k, strict=True)], bool)
+                    i, j, k = i[here], j[here], k[here]
                 for number in np.unique(k):
                     found = [(int(min(cid[x], cid[y])), int(max(cid[x], cid[y]))) for x, y in zip(i[k == number], j[k == number], strict=True)]
                     chosen = found if every else _spanning(found)
@@ -247,26 +253,6 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFra
     return out
 
 
-def components(links: DataFrame) -> DataFrame:
-    """cid and comp, the smallest cid it is connected with, of all cids in links (a, b).
-
-    Labels go to neighbours, then labels of labels are taken, until none changes;
-    every round is a written table.
-    """
-    both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-edges")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cid"), F.least("a", "m").alias("comp")), "near-labels")
-    while True:
-        near = both.join(labels, both["b"] == labels["cid"]).groupBy("a").agg(F.min("comp").alias("m"))
-        step = labels.join(near, labels["cid"] == near["a"]).select("cid", F.col("comp").alias("was"), F.least("comp", "m").alias("via"))
-        above = labels.select(F.col("cid").alias("via"), F.col("comp").alias("jump"))
-        new = written(step.join(above, "via").select("cid", F.least("via", "jump").alias("comp"), "was"), "near-labels")
-        forget(labels)
-        labels = new
-        if labels.where("comp < was").isEmpty():
-            forget(both)
-            return labels.select("cid", "comp")
-
-
 def _with_comp(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return rows.withColumn("comp", F.col("cid"))
@@ -300,7 +286,10 @@ class _Search:
 
     def forests(self, held: DataFrame, every: bool) -> DataFrame:
         """Edges inside the nodes of held, each of which has few members."""
-        members = held.select("node", "cid", "comp").join(self.low, "cid").groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp")).alias("members"))
+        rows, fields = held.select("node", "cid", "comp").join(self.low, "cid"), ["cid", "n", "low", "comp"]
+        if every:
+            rows, fields = rows.join(held.groupBy("cid").agg(F.collect_set("node").alias("nodes")), "cid"), [*fields, "nodes"]
+        members = rows.groupBy("node").agg(F.collect_list(F.struct(*fields)).alias("members"))
         return members.mapInArrow(_forests(every), _EDGE_COLUMNS)
 
     def stars(self, held: DataFrame) -> DataFrame:
@@ -327,35 +316,45 @@ class _Search:
         return found, not found.where(F.col("size") > SMALL).isEmpty()
 
     def run(self) -> DataFrame | None:
-        """All trees, level by level. The first level's edges are tried at once, so that
-        large groups of near copies are connected and stay out of the levels below;
-        the edges of those are tried together. Where an edge of a small node's forest is
-        refused and others were held back, these follow at the end."""
+        """All trees, level by level. After the levels in TRIED the edges so far are tried,
+        so that large groups of near copies are connected and stay out of the levels below.
+        Where an edge of a small node's forest is refused and others were held
+        back, these follow at the end."""
         rows = written(_roots(self.classes), "near-rows")
-        held, large = self.held(rows, False)
-        edges, every = self.first_edges(held), held
-        forget(rows)
-        deeper = None
-        for depth in range(1, DEPTH + 1):
+        edges: DataFrame | None = None
+        every: DataFrame | None = None
+        waiting: DataFrame | None = None
+        for depth in range(DEPTH + 1):
+            held, large = self.held(rows, depth == DEPTH)
+            forget(rows)
+            waiting = held if waiting is None else waiting.unionByName(held)
+            every = held if every is None else every.unionByName(held)
+            rows = held.where(F.col("size") > SMALL).select("node", "cid", "n", "comp")
+            if depth in TRIED or not large:
+                tried = self.first_edges(waiting)
+                edges, waiting = tried if edges is None else edges.unionByName(tried), None
+                rows = self.still_open(rows)
             if not large:
                 break
-            rows = held.where(F.col("size") > SMALL).select("node", "cid", "n", "comp")
-            if depth == 1:
-                rows = _by_size(_with_comp(rows.drop("comp"), self.labels))
-            elif depth < DEPTH:
+            if depth == 0:
+                rows = _by_size(rows)
+            elif depth + 1 < DEPTH:
                 rows = _children(rows, self.classes)
-            held, large = self.held(written(rows, "near-rows"), depth == DEPTH)
-            deeper = held if deeper is None else deeper.unionByName(held)
-        if deeper is not None:
-            edges = edges.unionByName(self.first_edges(deeper))
-            every = every.unionByName(deeper)
+            rows = written(rows, "near-rows")
         rest = edges.where("rest")
         if self.links is not None:
             rest = rest.join(self.links, ["a", "b"], "left_anti")
         again = every.where(F.col("size") <= SMALL).select("node", "cid").join(rest.select("node").distinct(), "node", "left_semi")
-        self.confirm(self.forests(_with_comp(again, self.labels), True).select("a", "b"))
+        again = written(self.still_open(again), "near-again")
+        self.confirm(self.forests(again, True).select("a", "b"))
         return self.labels
 
+    def still_open(self, rows: DataFrame) -> DataFrame:
+        """Of rows, with what is known by now, those in nodes of several connected classes."""
+        rows = _with_comp(rows.drop("comp"), self.labels)
+        nodes = rows.groupBy("node").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+        return rows.join(nodes.select("node"), "node", "left_semi")
+
 
 def _cells(held: DataFrame) -> DataFrame:
     """What is left of large nodes, as cells of two blocks each, so that every pair of a node meets in one cell."""

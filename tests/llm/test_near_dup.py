@@ -89,13 +89,6 @@ def test_large_groups_branch_and_end_in_cells(spark, tmp_path, monkeypatch, dept
     assert run(spark, tmp_path, rows) == brute(rows)
 
 
-def test_components_of_chains(spark):
-    n = 60
-    links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101), (103, 101)], "a long, b long")
-    got = {r.cid: r.comp for r in near_dup.components(links).collect()}
-    assert got == {**dict.fromkeys(range(n + 1), 0), 100: 100, 101: 100, 103: 100}
-
-
 def test_signature_estimates():
     rng = np.random.default_rng(3)
     a = np.unique(rng.integers(0, 1 << 63, 1000, dtype=np.uint64))
