@@ -1,0 +1,57 @@
+import random
+
+import corpus_pipeline
+from sievewright.llm import mixing, near_dup, toxicity
+
+
+def corpus():
+    rng = random.Random(11)
+    syllables = ["an", "be", "cor", "du", "el", "fi", "gra", "ho"]
+    word = lambda: "".join(rng.choices(syllables, k=rng.randint(1, 4)))
+    rows, labels = [], []
+    for i in range(500):
+        w = [word() for _ in range(rng.randint(1, 120))]
+        if toxic := rng.random() < 0.25:
+            for _ in range(1 + len(w) // 12):
+                w[rng.randrange(len(w))] = "zgrumpf" + rng.choice(["", "s", "ed"])
+        rows.append((i, " ".join(w), "en", f"s{i % 3}", 0))
+        labels.append((i, 0, int(toxic)))
+        if not toxic and rng.random() < 0.2:
+            rows.append((1000 + i, " ".join(w).upper(), "en", "s1", 0))
+    rows += [(2000, None, None, None, None), (2001, "", "en", "s0", 0), rows[5], (None, "an be cor du el fi", "en", "s2", 0)]
+    return rows, labels
+
+
+def test_stages_against_their_parts(spark, tmp_path):
+    rows, labels = corpus()
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    seen = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        seen.append(stage(spark, seen[-1], str(tmp_path)))
+    start, clean, single, mixed, packed = seen
+    assert clean.columns == single.columns == mixed.columns == start.columns
+    model = toxicity.train(start, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    kept = {(r.doc_id, r.text) for r in clean.collect()}
+    judged = dict(zip([(r[0], r[1]) for r in rows], model.scorer()([(r[1] or "").encode() for r in rows]), strict=True))
+    assert kept == {k for k, s in judged.items() if s < 0.5} and len(kept) < len(judged)
+    one = [(r.doc_id, r.text) for r in single.collect()]
+    want = {(r.doc_id, r.component_id) for r in near_dup.near_duplicates(clean).collect() if r.kept}
+    assert sorted(one, key=str) == sorted(set(one), key=str) and {d for d, _ in one} == {d for d, _ in want}
+    taken = {}
+    for r in mixed.collect():
+        taken[(r.doc_id, r.text)] = taken.get((r.doc_id, r.text), 0) + 1
+    plan = mixing.mix_plan(single.select("doc_id", "source", mixing.word_count().alias("size"))).collect()
+    assert sum(taken.values()) == sum(r.copies for r in plan)
+    assert {k[0]: v for k, v in taken.items()} == {r.doc_id: r.copies for r in plan if r.copies}
+    out = packed.collect()
+    assert len(out) == sum(taken.values())
+    whole = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, out), key=str)
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
