@@ -27,7 +27,7 @@ from .common import blobs, new_table
 
 END_ID = 1
 #: A worker forgets its table of encoded words beyond so many entries, to bound its memory.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 1_200_000
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 256 << 10
 
 _FILE = pa.schema([("doc_id", pa.int64()), ("file_offset", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -109,7 +109,7 @@ class Encoder:
         new = {pieces[i] for pieces, at in zip(cut, holes, strict=True) for i in at}
         if len(self.memo) + len(new) > MEMO_WORDS:
             # Words that were met first are mostly the frequent ones; found has what is needed now.
-            self.memo = dict(islice(self.memo.items(), MEMO_WORDS // 3))
+            self.memo = dict(islice(self.memo.items(), MEMO_WORDS // 2))
         self.learn(list(new))
         for pieces, ids, at in zip(cut, found, holes, strict=True):
             for i in at:
