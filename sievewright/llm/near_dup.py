@@ -30,7 +30,7 @@ SHINGLE, NUMERATOR = 5, 85
 #: pair is missed by a tree's first level with chance 0.15 ** 2, by its first four with 0.16, by all trees with 2e-5.
 PLACES, TREES, ROOT_BRANCHES, SECOND = 128, 6, 2, 0.18
 SEED = 8
-SMALL, DEPTH, TRIED = 64, 8, (0, 2, 4)
+SMALL, DEPTH, TRIED = 256, 5, (0, 2)
 #: Of 128 low bytes a pair at the threshold shares 109 +- 4; fewer than this is 5 deviations off.
 AGREE = 88
 #: Buckets of document ids that a second reading of the texts is narrowed by.
@@ -65,22 +65,27 @@ def signature(s: np.ndarray) -> bytes:
     return best.tobytes()
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("fp", pa.binary()), ("n_shingles", pa.int64()), ("sig", pa.binary())])
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.binary()), ("n_shingles", pa.int64()), ("sig", pa.binary())])
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (a hash of the whole set), n_shingles and sig of every row."""
+    """doc_id, text_hash, fp (a hash of the whole set), n_shingles and sig of every row."""
     from xxhash import xxh3_128_digest
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(doc_id: int | None, text: bytes) -> tuple:
+        def row(doc_id: int | None, text_hash: int, text: bytes) -> tuple:
             s = shingles(text)
-            return (doc_id, xxh3_128_digest(s.tobytes()), len(s), signature(s) if len(s) else b"")
+            return (doc_id, text_hash, xxh3_128_digest(s.tobytes()), len(s), signature(s) if len(s) else b"")
 
-        for part in parts:
-            yield from batches(map(row, part["doc_id"].to_pylist(), blobs(part["text"])), _SKETCH)
+        for part in (whole.slice(lo, 512) for whole in parts for lo in range(0, whole.num_rows, 512)):
+            yield from batches(map(row, part["doc_id"].to_pylist(), part["text_hash"].to_pylist(), blobs(part["text"])), _SKETCH)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp binary, n_shingles long, sig binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp binary, n_shingles long, sig binary")
 
 
 def _child(place: Column) -> Column:
@@ -122,11 +127,31 @@ def _may_link(n_a: np.ndarray, n_b: np.ndarray, low_a: np.ndarray, low_b: np.nda
 _EDGES = pa.schema([("node", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("rest", pa.bool_())])
 
 
-def _forests(every: bool):
-    """For nodes (node, members of cid, n, low, comp, nodes): edges between members that may link and are not connected.
+def _portions(sizes: np.ndarray, most: int = 200_000) -> Iterator[range]:
+    """Runs of nodes with about `most` pairs together."""
+    start, pairs = 0, 0
+    for k, n in enumerate(sizes.tolist()):
+        pairs += n * (n - 1) // 2
+        if pairs >= most:
+            yield range(start, k + 1)
+            start, pairs = k + 1, 0
+    if start < len(sizes):
+        yield range(start, len(sizes))
+
+
+def _holds(x: bytes, y: bytes) -> bool:
+    """Whether two whole sets reach the threshold."""
+    s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return 100 * both >= NUMERATOR * (len(s) + len(t) - both)
+
+
+def _forests(exact: bool):
+    """For nodes (node, members of cid, n, low, comp; exact: nodes, members): edges between members that may link and are not connected.
 
-    every: all of them, each in the first node alone that its ends share (nodes: a
-    member's); otherwise a spanning forest, and whether there were others (rest).
+    A spanning forest by signatures, and whether there were other edges (rest). exact: every
+    edge is tried on the members' whole sets, in the first node alone that its ends share
+    (nodes: a member's), unless links found before it connect its ends; links come out.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,11 +161,12 @@ def _forests(every: bool):
             cid, n, comp = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 3))
             low = np.frombuffer(b"".join(flat.field(2).to_pylist()), np.uint8).reshape(-1, PLACES)
             nodes = part["node"].to_pylist()
-            places = [set(x) for x in flat.field(4).to_pylist()] if every else []
+            places = [set(x) for x in flat.field(4).to_pylist()] if exact else []
+            sets = flat.field(5) if exact else None
             out: list[tuple] = []
-            for lo in range(0, len(nodes), 200):
+            for some in _portions(np.diff(ends)):
                 pairs, of = [], []
-                for k in range(lo, min(lo + 200, len(nodes))):
+                for k in some:
                     i, j = np.triu_indices(ends[k + 1] - ends[k], 1)
                     pairs.append(np.stack([i, j]) + ends[k])
                     of.append(np.full(len(i), k))
@@ -152,20 +178,22 @@ def _forests(every: bool):
                     x, y = i[at : at + 50_000], j[at : at + 50_000]
                     keep[at : at + 50_000] = _may_link(n[x], n[y], low[x], low[y])
                 i, j, k = i[keep], j[keep], k[keep]
-                if every:
-                    here = np.array([min(places[x] & places[y]) == nodes[z] for x, y, z in zip(i, j, k, strict=True)], bool)
-                    i, j, k = i[here], j[here], k[here]
-                for number in np.unique(k):
-                    found = [(int(min(cid[x], cid[y])), int(max(cid[x], cid[y]))) for x, y in zip(i[k == number], j[k == number], strict=True)]
-                    chosen = found if every else _spanning(found)
-                    out += [(nodes[number], a, b, len(chosen) < len(found)) for a, b in chosen]
+                numbers, first = np.unique(k, return_index=True)
+                for number, lo, hi in zip(numbers, first, [*first[1:], len(k)], strict=True):
+                    found = list(zip(i[lo:hi].tolist(), j[lo:hi].tolist(), strict=True))
+                    if exact:
+                        found = [(x, y) for x, y in found if min(places[x] & places[y]) == nodes[number]]
+                        chosen = _spanning(found, comp, lambda x, y, sets=sets: _holds(sets[x].as_py(), sets[y].as_py()))
+                    else:
+                        chosen = _spanning(found, comp)
+                    out += [(nodes[number], min(cid[x], cid[y]), max(cid[x], cid[y]), len(chosen) < len(found)) for x, y in chosen]
             yield from batches(iter(out), _EDGES)
 
     return run
 
 
-def _spanning(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Pairs, smallest first, that join parts not yet joined."""
+def _spanning(pairs: list[tuple[int, int]], comp: np.ndarray, holds=None) -> list[tuple[int, int]]:
+    """Pairs, in turn, that hold and join parts not yet joined; members of one comp are one part."""
     up: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -175,8 +203,9 @@ def _spanning(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
         return x
 
     out = []
-    for a, b in sorted(pairs):
-        if (x := top(a)) != (y := top(b)):
+    for a, b in pairs:
+        x, y = top(int(comp[a])), top(int(comp[b]))
+        if x != y and (holds is None or holds(a, b)):
             up[max(x, y)] = min(x, y)
             out.append((a, b))
     return out
@@ -196,8 +225,8 @@ def _stars(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SETS = pa.schema([("fp", pa.binary()), ("members", pa.binary())])
 
 
-def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """cid and the whole set (sorted 64-bit hashes) of every class in pairs, from the texts.
+def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """cid and the whole set (sorted 64-bit hashes) of every class of ids (cid), from the texts.
 
     The texts are read again; rows that can't be wanted are passed over by a bitmap of
     BUCKETS hashed document ids, whose size does not depend on the data.
@@ -205,7 +234,6 @@ def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     from xxhash import xxh3_128_digest
 
     spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     wanted = classes.select("cid", "fp", "head").join(ids, "cid", "left_semi")
 
     def bucket(doc_id: str) -> Column:
@@ -237,16 +265,11 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFra
     """Those of pairs (a, b) whose full sets reach the threshold."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def holds(x: bytes, y: bytes) -> bool:
-            s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            return 100 * both >= NUMERATOR * (len(s) + len(t) - both)
-
         for part in parts:
-            keep = [holds(x, y) for x, y in zip(part["x"].to_pylist(), part["y"].to_pylist(), strict=True)]
+            keep = [_holds(x, y) for x, y in zip(part["x"].to_pylist(), part["y"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([part["a"], part["b"]], schema=_LINKS).filter(pa.array(keep, pa.bool_()))
 
-    sets = written(_sets_of(docs, classes, pairs), "near-sets")
+    sets = written(_sets_of(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()), "near-sets")
     full = pairs.join(sets.select(F.col("cid").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("cid").alias("b"), F.col("members").alias("y")), "b")
     out = written(full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "near-links")
     forget(sets)
@@ -279,18 +302,29 @@ class _Search:
         if pairs.isEmpty():
             return
         self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
-        good = _confirmed(self.docs, self.classes, pairs)
+        self.connect(_confirmed(self.docs, self.classes, pairs))
+
+    def connect(self, good: DataFrame) -> None:
         if not good.isEmpty():
             self.links = good if self.links is None else self.links.unionByName(good)
             self.labels = components(self.links)
 
-    def forests(self, held: DataFrame, every: bool) -> DataFrame:
+    def forests(self, held: DataFrame) -> DataFrame:
         """Edges inside the nodes of held, each of which has few members."""
-        rows, fields = held.select("node", "cid", "comp").join(self.low, "cid"), ["cid", "n", "low", "comp"]
-        if every:
-            rows, fields = rows.join(held.groupBy("cid").agg(F.collect_set("node").alias("nodes")), "cid"), [*fields, "nodes"]
-        members = rows.groupBy("node").agg(F.collect_list(F.struct(*fields)).alias("members"))
-        return members.mapInArrow(_forests(every), _EDGE_COLUMNS)
+        rows = held.select("node", "cid", "comp").join(self.low, "cid")
+        members = rows.groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp")).alias("members"))
+        return members.mapInArrow(_forests(False), _EDGE_COLUMNS)
+
+    def search_whole(self, held: DataFrame) -> None:
+        """Tries every edge inside the nodes of held. Each class brings its whole set to its nodes, so a set travels once a node, not once an edge."""
+        if held.isEmpty():
+            return
+        sets = written(_sets_of(self.docs, self.classes, held.select("cid").distinct()), "near-sets")
+        nodes = held.groupBy("cid").agg(F.collect_set("node").alias("nodes"))
+        rows = held.select("node", "cid", "comp").join(self.low, "cid").join(nodes, "cid").join(sets, "cid")
+        members = rows.groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp", "nodes", "members")).alias("members"))
+        self.connect(written(members.mapInArrow(_forests(True), _EDGE_COLUMNS).select("a", "b").distinct(), "near-links"))
+        forget(sets)
 
     def stars(self, held: DataFrame) -> DataFrame:
         """Edges from the first class of each node of held; only pairs whose sizes allow them are looked at."""
@@ -303,7 +337,7 @@ class _Search:
     def first_edges(self, held: DataFrame) -> DataFrame:
         """Small nodes' forests and large ones' stars, tried; a written table."""
         small, large = held.where(F.col("size") <= SMALL), held.where(F.col("size") > SMALL)
-        edges = written(self.forests(small, False).unionByName(self.stars(large)), "near-edges")
+        edges = written(self.forests(small).unionByName(self.stars(large)), "near-edges")
         self.confirm(edges.select("a", "b"))
         return edges
 
@@ -345,8 +379,7 @@ class _Search:
         if self.links is not None:
             rest = rest.join(self.links, ["a", "b"], "left_anti")
         again = every.where(F.col("size") <= SMALL).select("node", "cid").join(rest.select("node").distinct(), "node", "left_semi")
-        again = written(self.still_open(again), "near-again")
-        self.confirm(self.forests(again, True).select("a", "b"))
+        self.search_whole(written(self.still_open(again), "near-again"))
         return self.labels
 
     def still_open(self, rows: DataFrame) -> DataFrame:
@@ -365,6 +398,20 @@ def _cells(held: DataFrame) -> DataFrame:
     return dealt.withColumn("node", cell).withColumn("size", F.lit(1).cast("long")).drop("blocks", "mine", "other")
 
 
+def _resolved(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept and comp (null for empty sets) of every row."""
+    members = written(sketch(docs), "near-sketch")
+    filled = members.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+    classes = written(_low(filled.withColumn("cid", F.monotonically_increasing_id())), "near-classes")
+    labels = _Search(docs, classes).run()
+    owned = _with_comp(classes.select("cid", "fp", "head"), labels)
+    heads = owned.groupBy("comp").agg(F.min("head").alias("component_id"))
+    owned = owned.join(heads, "comp").select("fp", "component_id", "comp")
+    rows = members.select("doc_id", "text_hash", "fp", "n_shingles").join(owned, "fp", "left")
+    rows = rows.withColumn("component_id", F.when(F.col("comp").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")))
+    return rows.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "comp")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of docs (doc_id, text).
 
@@ -372,16 +419,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     the smallest of its component; where all are null, component_id is null and the rows
     are kept. Repeated rows get equal results. Other columns are left out.
     """
-    members = written(sketch(docs), "near-sketch")
-    filled = members.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
-    classes = written(_low(filled.withColumn("cid", F.monotonically_increasing_id())), "near-classes")
-    labels = _Search(docs, classes).run()
-    owned = _with_comp(classes.select("cid", "fp", "head"), labels)
-    heads = owned.groupBy("comp").agg(F.min("head").alias("component_id"))
-    owned = owned.join(heads, "comp").select("fp", "component_id", F.lit(True).alias("_filled"))
-    rows = members.select("doc_id", "fp", "n_shingles").join(owned, "fp", "left")
-    rows = rows.withColumn("component_id", F.when(F.col("_filled"), F.col("component_id")).otherwise(F.col("doc_id")))
-    return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return _resolved(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 _LOW = pa.schema([("cid", pa.int64()), ("fp", pa.binary()), ("head", pa.int64()), ("n_shingles", pa.int64()), ("sig", pa.binary()), ("low", pa.binary())])
@@ -399,10 +437,16 @@ def _low(classes: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component: that of the smallest doc_id (of rows with that id and equal text, one)."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept"))).drop("_kept")
-    return rows.dropDuplicates(["doc_id", "text"])
+    """docs with one row of each component: one that has its smallest doc_id (of several, that of the least text hash).
+
+    Rows without shingles stay, repeated ones once. The texts are dealt out once, by id and text hash.
+    """
+    kept = _resolved(docs).where("kept").select(F.coalesce("doc_id", F.lit(-1)).alias("k"), F.col("text_hash").alias("h"), "comp")
+    alone = F.when(F.col("comp").isNull(), F.struct("k", "h"))
+    chosen = kept.groupBy("comp", alone.alias("alone")).agg(F.min(F.struct("k", "h")).alias("c")).select(F.col("c.k").alias("_kept_k"), F.col("c.h").alias("_kept_h")).distinct()
+    rows = docs.withColumn("_k", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn("_h", _text_hash())
+    rows = rows.join(chosen, (F.col("_k") == F.col("_kept_k")) & (F.col("_h") == F.col("_kept_h")))
+    return rows.dropDuplicates(["_k", "_h"]).select(*docs.columns)
 
 
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
