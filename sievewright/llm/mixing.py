@@ -148,16 +148,24 @@ def mix_plan(sizes: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, source, others) with each row as often as the mix takes it, perhaps not at all."""
+    """docs (doc_id, text, source, others) with each row as often as the mix takes it, perhaps not at all.
+
+    Rows that agree in doc_id, source and size share their copies evenly, so texts
+    are dealt out once, by a hash of these, and meet one row of the plan.
+    """
     columns = docs.columns
     sized = docs.withColumn("_mix_size", word_count()).withColumn("_mix_id", F.col("doc_id").cast("long")).withColumn("_mix_source", F.col("source").cast("string"))
     plan = mix_plan(sized.select(F.col("_mix_id").alias("doc_id"), F.col("_mix_source").alias("source"), F.col("_mix_size").alias("size")))
-    same = Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy(F.xxhash64("text"))
-    sized = sized.withColumn("_mix_copy", (F.row_number().over(same) - 1).cast("long"))
-    plan = plan.where("copies > 0").select(*(F.col(c).alias(f"_p_{c}") for c in ("doc_id", "source", "size", "copy", "copies")))
-    on = F.col("_mix_id").eqNullSafe(F.col("_p_doc_id")) & F.col("_mix_source").eqNullSafe(F.col("_p_source")) & (F.col("_mix_size") == F.col("_p_size")) & (F.col("_mix_copy") == F.col("_p_copy"))
-    taken = sized.join(plan, on).withColumn("_mix_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_p_copies"))))
-    return taken.select(*columns)
+    key = F.xxhash64("doc_id", "source", "size")
+    plan = plan.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_p_copies"), F.count(F.lit(1)).alias("_p_rows")).where("_p_copies > 0")
+    plan = plan.select(key.alias("_mix_key"), F.col("doc_id").alias("_p_id"), F.col("source").alias("_p_source"), F.col("size").alias("_p_size"), "_p_copies", "_p_rows")
+    sized = sized.withColumn("_mix_key", F.xxhash64("_mix_id", "_mix_source", "_mix_size"))
+    same = F.col("_mix_id").eqNullSafe(F.col("_p_id")) & F.col("_mix_source").eqNullSafe(F.col("_p_source")) & (F.col("_mix_size") == F.col("_p_size"))
+    met = sized.alias("d").join(plan.alias("p"), (F.col("d._mix_key") == F.col("p._mix_key")) & same).drop(F.col("p._mix_key"))
+    number = F.row_number().over(Window.partitionBy("_mix_key", "_mix_id", "_mix_source", "_mix_size").orderBy(F.xxhash64("text")))
+    own = F.floor(F.col("_p_copies") / F.col("_p_rows")) + F.when(number <= F.col("_p_copies") % F.col("_p_rows"), 1).otherwise(0)
+    taken = met.withColumn("_mix_copies", own.cast("long")).where("_mix_copies > 0")
+    return taken.withColumn("_mix_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies")))).select(*columns)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
