@@ -26,7 +26,7 @@ LIST, SIDE, HANDED = 20, 10, 8
 ROUNDS, TREES, LEAF = 5, 3, 100
 #: Nodes that trees are fitted on and walks start from: the documented bound of the sample.
 SAMPLE = 4096
-ENTRIES, WIDTH, WALK = 16, 320, 40
+ENTRIES, WIDTH, WALK = 16, 400, 40
 #: Queries that are walked together.
 QUERIES = 16_384
 NEAREST = 10
