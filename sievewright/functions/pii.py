@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,6 +57,3 @@ def masked(x: Column, found: Column, token: str) -> Column:
     """x with the text of every finding, in turn, replaced wherever it stands."""
     return F.aggregate(found, x, lambda text, f: F.replace(text, f["match"], F.lit(token)))
 
-
-def merged(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: F.concat(a, b), parts)

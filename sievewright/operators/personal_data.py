@@ -14,11 +14,12 @@ FLAGS = "_pii_flags"
 
 def record_findings(rules: PersonalData, place: str = "seq") -> Column:
     """All findings of a record, field after field, each with the record's place and its field."""
-    parts = []
-    for name in FIELDS:
+
+    def placed(name: str) -> Column:
         found = pii.findings(F.coalesce(F.col(name), F.lit("")), rules)
-        parts.append(F.transform(found, lambda f, n=name: F.struct(f["type"].alias("type"), f["match"].alias("match"), f["span"].alias("span"), F.col(place).cast("long").alias("record_idx"), F.lit(n).alias("field"))))
-    return pii.merged(parts)
+        return F.transform(found, lambda f: F.struct(f["type"].alias("type"), f["match"].alias("match"), f["span"].alias("span"), F.col(place).cast("long").alias("record_idx"), F.lit(name).alias("field")))
+
+    return F.concat(*map(placed, FIELDS))
 
 
 def with_findings(records: DataFrame, rules: PersonalData = PersonalData(), place: str = "seq") -> DataFrame:

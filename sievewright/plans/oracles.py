@@ -50,7 +50,7 @@ def newlines(x: str) -> str:
 
 
 def numbering(x: str) -> str:
-    return replaced(x, rf"^(\d+)\.[{_WS}]+", flags="gm")
+    return replaced(x, rf"(?m)^(\d+)\.[{_WS}]+")
 
 
 def cleaned(x: str) -> str:
@@ -109,11 +109,6 @@ def masked(x: str) -> str:
 
 
 # ---- quality -------------------------------------------------------------------------------------
-def repetition(x: str) -> str:
-    cut = f"list_filter(list_transform(regexp_split_to_array({x}, '[.!?\\n]'), lambda s: {stripped('s')}), lambda s: s <> '')"
-    return f"(SELECT CASE WHEN count(*) <= 1 THEN 0.0 ELSE max(n) / sum(n) END FROM (SELECT s, count(*) OVER (PARTITION BY s) AS n0, 1 AS n FROM (SELECT unnest({cut}) AS s)))"
-
-
 def repetition_table(table: str) -> str:
     """seq and ratio for every row of a table with seq and output."""
     cut = f"list_filter(list_transform(regexp_split_to_array(output, '[.!?\\n]'), lambda s: {stripped('s')}), lambda s: s <> '')"
