@@ -179,7 +179,7 @@ def _forests(exact: bool):
                     keep[at : at + 50_000] = _may_link(n[x], n[y], low[x], low[y])
                 i, j, k = i[keep], j[keep], k[keep]
                 numbers, first = np.unique(k, return_index=True)
-                for number, lo, hi in zip(numbers, first, [*first[1:], len(k)], strict=True):
+                for number, lo, hi in zip(numbers, first, np.append(first, len(k))[1:], strict=True):
                     found = list(zip(i[lo:hi].tolist(), j[lo:hi].tolist(), strict=True))
                     if exact:
                         found = [(x, y) for x, y in found if min(places[x] & places[y]) == nodes[number]]

@@ -89,6 +89,21 @@ def test_large_groups_branch_and_end_in_cells(spark, tmp_path, monkeypatch, dept
     assert run(spark, tmp_path, rows) == brute(rows)
 
 
+def test_nodes_without_candidates():
+    """Portions in which no pair may link, or all are connected, give nothing."""
+    import pyarrow as pa
+
+    member = pa.struct([("cid", pa.int64()), ("n", pa.int64()), ("low", pa.binary()), ("comp", pa.int64())])
+    apart = [{"cid": c, "n": 10, "low": bytes([c]) * near_dup.PLACES, "comp": c} for c in range(3)]
+    one = [{"cid": c, "n": 10, "low": bytes(near_dup.PLACES), "comp": 0} for c in range(4)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3], pa.int64()), pa.array([apart, one, []], pa.list_(member))], names=["node", "members"])
+    assert sum(b.num_rows for b in near_dup._forests(False)(iter([batch]))) == 0
+    near = [{"cid": c, "n": 10, "low": bytes(near_dup.PLACES), "comp": c} for c in range(4)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array([near, apart], pa.list_(member))], names=["node", "members"])
+    (out,) = list(near_dup._forests(False)(iter([batch])))
+    assert out["a"].to_pylist() == [0, 0, 0] and out["b"].to_pylist() == [1, 2, 3] and out["rest"].to_pylist() == [True] * 3
+
+
 def test_signature_estimates():
     rng = np.random.default_rng(3)
     a = np.unique(rng.integers(0, 1 << 63, 1000, dtype=np.uint64))
