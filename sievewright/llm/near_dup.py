@@ -31,6 +31,8 @@ SHINGLE, NUMERATOR = 5, 85
 PLACES, TREES, ROOT_BRANCHES, SECOND = 128, 6, 2, 0.18
 SEED = 8
 SMALL, DEPTH, TRIED = 256, 5, (0, 2)
+#: Classes to a block of a cell, about.
+CELL = 400
 #: Of 128 low bytes a pair at the threshold shares 109 +- 4; fewer than this is 5 deviations off.
 AGREE = 88
 #: Buckets of document ids that a second reading of the texts is narrowed by.
@@ -146,12 +148,13 @@ def _holds(x: bytes, y: bytes) -> bool:
     return 100 * both >= NUMERATOR * (len(s) + len(t) - both)
 
 
-def _forests(exact: bool):
-    """For nodes (node, members of cid, n, low, comp; exact: nodes, members): edges between members that may link and are not connected.
+def _forests(mode: str):
+    """For nodes (node, members of cid, n, low, comp, nodes, members): edges between members that may link and are not connected.
 
-    A spanning forest by signatures, and whether there were other edges (rest). exact: every
-    edge is tried on the members' whole sets, in the first node alone that its ends share
-    (nodes: a member's), unless links found before it connect its ends; links come out.
+    spanning: a spanning forest by signatures, and whether there were other edges (rest).
+    The other modes take every edge in the first node alone that its ends share (nodes: a
+    member's). ends: the classes at such edges, as a, with their comp as b. exact: edges
+    are tried on whole sets (members), unless links found before connect their ends; links come out.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,8 +164,8 @@ def _forests(exact: bool):
             cid, n, comp = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 3))
             low = np.frombuffer(b"".join(flat.field(2).to_pylist()), np.uint8).reshape(-1, PLACES)
             nodes = part["node"].to_pylist()
-            places = [set(x) for x in flat.field(4).to_pylist()] if exact else []
-            sets = flat.field(5) if exact else None
+            places = [set(x) for x in flat.field(4).to_pylist()] if mode != "spanning" else []
+            sets = flat.field(5) if mode == "exact" else None
             out: list[tuple] = []
             for some in _portions(np.diff(ends)):
                 pairs, of = [], []
@@ -181,11 +184,12 @@ def _forests(exact: bool):
                 numbers, first = np.unique(k, return_index=True)
                 for number, lo, hi in zip(numbers, first, np.append(first, len(k))[1:], strict=True):
                     found = list(zip(i[lo:hi].tolist(), j[lo:hi].tolist(), strict=True))
-                    if exact:
+                    if mode != "spanning":
                         found = [(x, y) for x, y in found if min(places[x] & places[y]) == nodes[number]]
-                        chosen = _spanning(found, comp, lambda x, y, sets=sets: _holds(sets[x].as_py(), sets[y].as_py()))
-                    else:
-                        chosen = _spanning(found, comp)
+                    if mode == "ends":
+                        out += [(nodes[number], cid[x], comp[x], False) for x in {x for pair in found for x in pair}]
+                        continue
+                    chosen = _spanning(found, comp, (lambda x, y, sets=sets: _holds(sets[x].as_py(), sets[y].as_py())) if sets is not None else None)
                     out += [(nodes[number], min(cid[x], cid[y]), max(cid[x], cid[y]), len(chosen) < len(found)) for x, y in chosen]
             yield from batches(iter(out), _EDGES)
 
@@ -313,18 +317,25 @@ class _Search:
         """Edges inside the nodes of held, each of which has few members."""
         rows = held.select("node", "cid", "comp").join(self.low, "cid")
         members = rows.groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp")).alias("members"))
-        return members.mapInArrow(_forests(False), _EDGE_COLUMNS)
+        return members.mapInArrow(_forests("spanning"), _EDGE_COLUMNS)
 
     def search_whole(self, held: DataFrame) -> None:
-        """Tries every edge inside the nodes of held. Each class brings its whole set to its nodes, so a set travels once a node, not once an edge."""
-        if held.isEmpty():
+        """Tries every edge inside the nodes of held. Classes at edges that signatures allow bring their whole sets, so a set travels once a node, not once an edge."""
+
+        def nodes_with(rows: DataFrame, *fields: str) -> DataFrame:
+            nodes = rows.groupBy("cid").agg(F.collect_set("node").alias("nodes"))
+            full = rows.select("node", "cid", "comp").join(self.low, "cid").join(nodes, "cid")
+            if fields:
+                full = full.join(sets, "cid")
+            return full.groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp", "nodes", *fields)).alias("members"))
+
+        ends = nodes_with(held).mapInArrow(_forests("ends"), _EDGE_COLUMNS)
+        ends = written(ends.select("node", F.col("a").alias("cid"), F.col("b").alias("comp")), "near-ends")
+        if ends.isEmpty():
             return
-        sets = written(_sets_of(self.docs, self.classes, held.select("cid").distinct()), "near-sets")
-        nodes = held.groupBy("cid").agg(F.collect_set("node").alias("nodes"))
-        rows = held.select("node", "cid", "comp").join(self.low, "cid").join(nodes, "cid").join(sets, "cid")
-        members = rows.groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp", "nodes", "members")).alias("members"))
-        self.connect(written(members.mapInArrow(_forests(True), _EDGE_COLUMNS).select("a", "b").distinct(), "near-links"))
-        forget(sets)
+        sets = written(_sets_of(self.docs, self.classes, ends.select("cid").distinct()), "near-sets")
+        self.connect(written(nodes_with(ends, "members").mapInArrow(_forests("exact"), _EDGE_COLUMNS).select("a", "b").distinct(), "near-links"))
+        forget(sets, ends)
 
     def stars(self, held: DataFrame) -> DataFrame:
         """Edges from the first class of each node of held; only pairs whose sizes allow them are looked at."""
@@ -379,7 +390,7 @@ class _Search:
         if self.links is not None:
             rest = rest.join(self.links, ["a", "b"], "left_anti")
         again = every.where(F.col("size") <= SMALL).select("node", "cid").join(rest.select("node").distinct(), "node", "left_semi")
-        self.search_whole(written(self.still_open(again), "near-again"))
+        self.search_whole(written(_with_comp(again, self.labels), "near-again"))
         return self.labels
 
     def still_open(self, rows: DataFrame) -> DataFrame:
@@ -391,7 +402,7 @@ class _Search:
 
 def _cells(held: DataFrame) -> DataFrame:
     """What is left of large nodes, as cells of two blocks each, so that every pair of a node meets in one cell."""
-    blocks = F.ceil(F.col("size") / (SMALL // 2)).cast("long")
+    blocks = F.ceil(F.col("size") / CELL).cast("long")
     mine = F.pmod(F.xxhash64("cid"), F.col("blocks"))
     dealt = held.withColumn("blocks", blocks).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cell = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))

@@ -79,6 +79,7 @@ def test_empty_table(spark, tmp_path):
 def test_large_groups_branch_and_end_in_cells(spark, tmp_path, monkeypatch, depth):
     """Chains of near copies, more than a node may hold, with the smallest bounds."""
     monkeypatch.setattr(near_dup, "SMALL", 8)
+    monkeypatch.setattr(near_dup, "CELL", 6)
     monkeypatch.setattr(near_dup, "DEPTH", depth)
     rng = random.Random(5)
     w = [f"t{i}" for i in range(200)]
@@ -97,10 +98,10 @@ def test_nodes_without_candidates():
     apart = [{"cid": c, "n": 10, "low": bytes([c]) * near_dup.PLACES, "comp": c} for c in range(3)]
     one = [{"cid": c, "n": 10, "low": bytes(near_dup.PLACES), "comp": 0} for c in range(4)]
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3], pa.int64()), pa.array([apart, one, []], pa.list_(member))], names=["node", "members"])
-    assert sum(b.num_rows for b in near_dup._forests(False)(iter([batch]))) == 0
+    assert sum(b.num_rows for b in near_dup._forests("spanning")(iter([batch]))) == 0
     near = [{"cid": c, "n": 10, "low": bytes(near_dup.PLACES), "comp": c} for c in range(4)]
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array([near, apart], pa.list_(member))], names=["node", "members"])
-    (out,) = list(near_dup._forests(False)(iter([batch])))
+    (out,) = list(near_dup._forests("spanning")(iter([batch])))
     assert out["a"].to_pylist() == [0, 0, 0] and out["b"].to_pylist() == [1, 2, 3] and out["rest"].to_pylist() == [True] * 3
 
 
