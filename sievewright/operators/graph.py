@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..tables import forget, written
 
 
+#: Edges to a partition of the labels.
+EDGES = 100_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """cid and comp, the smallest cid it is connected with, of all cids in links (a, b).
 
@@ -15,12 +19,15 @@ def components(links: DataFrame) -> DataFrame:
     every round is a written table.
     """
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cid"), F.least("a", "m").alias("comp")), "labels")
+    # There are no more labels than edges, so few edges need few partitions.
+    parts = both.count() // EDGES + 1
+    labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cid"), F.least("a", "m").alias("comp"))
+    labels = written(labels.coalesce(parts), "labels")
     while True:
         near = both.join(labels, both["b"] == labels["cid"]).groupBy("a").agg(F.min("comp").alias("m"))
         step = labels.join(near, labels["cid"] == near["a"]).select("cid", F.col("comp").alias("was"), F.least("comp", "m").alias("via"))
         above = labels.select(F.col("cid").alias("via"), F.col("comp").alias("jump"))
-        new = written(step.join(above, "via").select("cid", F.least("via", "jump").alias("comp"), "was"), "labels")
+        new = written(step.join(above, "via").select("cid", F.least("via", "jump").alias("comp"), "was").coalesce(parts), "labels")
         forget(labels)
         labels = new
         if labels.where("comp < was").isEmpty():

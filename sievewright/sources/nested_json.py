@@ -6,8 +6,6 @@ groups, a group an item or a list of items. Scalars missing are empty.
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +27,16 @@ def json_files(spark: SparkSession, folder: str) -> list[str]:
         inside = path[len(root) + 1 :].split("/")
         if path.endswith(".json") and not any(x.startswith(".") for x in inside):
             found.append(path)
-    return sorted(found, key=unquote)
+    return sorted(found)
+
+
+def _content(spark: SparkSession, file: str) -> bytes:
+    at = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,7 +46,14 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
         return spark.createDataFrame([], "path string, content binary").select("path", F.try_parse_json(F.col("content").cast("string")).alias("j"))
     # Python's reader takes the last of equal keys.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    raw = spark.read.format("binaryFile").load(files).select(F.regexp_replace(F.url_decode("path"), "^file:/*", "/").alias("path"), "content")
+    plain = [f for f in files if not f.rsplit("/", 1)[1].startswith("_")]
+    raw = spark.read.format("binaryFile").load(plain).select("path", "content") if plain else None
+    # Spark's readers pass over names that start with '_'; the driver reads these, one by one.
+    held = [(f, bytearray(_content(spark, f))) for f in files if f not in set(plain)]
+    if held:
+        other = spark.createDataFrame(held, "path string, content binary")
+        raw = other if raw is None else raw.unionByName(other)
+    raw = raw.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")
     text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string"))
     return raw.select("path", F.try_parse_json(text).alias("j"))
 
