@@ -30,7 +30,7 @@ SHINGLE, NUMERATOR = 5, 85
 #: pair is missed by a tree's first level with chance 0.15 ** 2, by its first four with 0.16, by all trees with 2e-5.
 PLACES, TREES, ROOT_BRANCHES, SECOND = 128, 6, 2, 0.18
 SEED = 8
-SMALL, DEPTH, TRIED = 256, 5, (0, 2)
+SMALL, DEPTH, TRIED = 256, 5, (0,)
 #: Classes to a block of a cell, about.
 CELL = 400
 #: Of 128 low bytes a pair at the threshold shares 109 +- 4; fewer than this is 5 deviations off.
