@@ -324,9 +324,10 @@ class _Search:
 
         def nodes_with(rows: DataFrame, *fields: str) -> DataFrame:
             nodes = rows.groupBy("cid").agg(F.collect_set("node").alias("nodes"))
-            full = rows.select("node", "cid", "comp").join(self.low, "cid").join(nodes, "cid")
+            own = nodes.join(self.low, "cid")
             if fields:
-                full = full.join(sets, "cid")
+                own = own.join(sets, "cid")
+            full = rows.select("node", "cid", "comp").join(own, "cid")
             return full.groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp", "nodes", *fields)).alias("members"))
 
         ends = nodes_with(held).mapInArrow(_forests("ends"), _EDGE_COLUMNS)
