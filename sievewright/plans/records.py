@@ -40,7 +40,7 @@ SELECT b.seq, b.instruction, b.input,
         WHEN b.seq % 17 = 0 THEN 'yes'
         WHEN b.seq % 23 = 0 THEN 'oneword'
         WHEN b.seq % 29 = 0 THEN b.text
-        ELSE substr(coalesce(b.text, ''), 1, 400) END AS output,
+        ELSE coalesce(b.text, '') END AS output,
     CASE b.seq % 3 WHEN 0 THEN '요약' WHEN 1 THEN '질의응답' ELSE '분류' END AS task,
     coalesce(b.lang, '') AS task_category, coalesce(b.source, '') AS source,
     CASE WHEN l.q IS NULL THEN '' ELSE concat('quality ', cast(l.q AS varchar(9))) END AS consulting_category,
