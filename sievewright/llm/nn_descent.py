@@ -6,8 +6,8 @@ round of NN-descent then gathers at every node some neighbours in either directi
 (by joins; at most SIDE of each kind, so hubs stay small), compares these with one another and merges what is
 found into the lists of the nodes compared. Queries walk the graph in rounds: all
 open nodes of a query's beam hand on their neighbours, a join brings these to their
-vectors, and the nearest WIDTH stay. Distances in the walk are those of the
-original vectors in double precision; building the graph uses 8-bit copies.
+vectors, and the nearest WIDTH stay. Distances are those of the original vectors
+in double precision, in the walk and in building the graph.
 """
 
 from __future__ import annotations
@@ -45,6 +45,10 @@ def usable(vectors: DataFrame) -> DataFrame:
     return inner.where(F.size("e") == (lengths[0] if lengths else 0)).withColumn("e", F.transform("e", lambda x: x + F.lit(0.0).cast("float"))).distinct()
 
 
+def _unpacked(column: pa.Array, kind: np.dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1).astype(np.float64) if len(column) else np.zeros((0, 1))
+
+
 def _matrix(column: pa.Array, kind=np.float64) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False)
     return values.reshape(len(column), -1).astype(kind) if len(column) else np.zeros((0, 1), kind)
@@ -58,13 +62,14 @@ class Trees:
         leaves = min(max(1, n // LEAF), max(1, len(sample) // 4))
         self.depth = int(np.log2(leaves)) if leaves > 1 else 0
         self.planes = np.zeros((TREES, 2**self.depth, sample.shape[1] if sample.size else 1), np.float32)
-        self.cuts = np.zeros((TREES, 2**self.depth), np.float32)
+        self.cuts = np.zeros((TREES, 2**self.depth))
         for tree in range(TREES):
             held = {1: np.arange(len(sample))}
             for node in range(1, 2**self.depth):
                 own = held.pop(node)
                 a, b = rng.choice(own, 2, replace=False) if len(own) > 1 else (0, min(1, len(sample) - 1))
                 plane = sample[a] - sample[b]
+                plane = (plane / (np.linalg.norm(plane) or 1.0)).astype(np.float32)
                 side = sample[own] @ plane
                 cut = np.median(side) if len(own) else 0
                 self.planes[tree, node], self.cuts[tree, node] = plane, cut
@@ -79,26 +84,26 @@ class Trees:
             yield node + (tree << 32)
 
 
-_LISTS = pa.schema([("nid", pa.int64()), ("d", pa.list_(pa.float32())), ("v", pa.list_(pa.int64()))])
-_LISTS_SQL = "nid long, d array<float>, v array<long>"
+_LISTS = pa.schema([("nid", pa.int64()), ("d", pa.list_(pa.float64())), ("v", pa.list_(pa.int64()))])
+_LISTS_SQL = "nid long, d array<double>, v array<long>"
 
 
 def _lists(rows: list[tuple]) -> pa.RecordBatch:
     n, d, v = zip(*rows, strict=True) if rows else ((), (), ())
     ends = np.concatenate([[0], np.cumsum([len(x) for x in d])]).astype(np.int32)
     flat = [np.concatenate(x) if len(x) else np.zeros(0) for x in (d, v)]
-    return pa.RecordBatch.from_arrays([pa.array(n, pa.int64())] + [pa.ListArray.from_arrays(pa.array(ends), pa.array(x, t)) for x, t in zip(flat, (pa.float32(), pa.int64()), strict=True)], schema=_LISTS)
+    return pa.RecordBatch.from_arrays([pa.array(n, pa.int64())] + [pa.ListArray.from_arrays(pa.array(ends), pa.array(x, t)) for x, t in zip(flat, (pa.float64(), pa.int64()), strict=True)], schema=_LISTS)
 
 
-def _compared(most: int):
-    """For groups (members of nid, q): each member's nearest others in the group, up to most."""
+def _compared(most: int, kind: np.dtype):
+    """For groups (members of nid, q, a packed vector of kind): each member's nearest others in the group, up to most."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             flat, ends = part["members"].flatten(), part["members"].offsets.to_numpy()
             ends = ends - ends[0]
             nid, held = flat.field(0).to_numpy(zero_copy_only=False), []
-            q = np.frombuffer(b"".join(flat.field(1).to_pylist()), np.int8).reshape(len(nid), -1).astype(np.float32)
+            q = _unpacked(flat.field(1), kind)
             for lo, hi in zip(ends[:-1], ends[1:], strict=True):
                 ids, first = np.unique(nid[lo:hi], return_index=True)
                 if len(ids) < 2:
@@ -155,33 +160,32 @@ class Index:
         self.entries = _matrix(sample["e"].combine_chunks()) if len(sample) else np.zeros((0, 1))
         self.graph = self._descended()
 
-    def _packed(self) -> DataFrame:
-        """nid and q, the vector in 8 bits a component, scaled by the largest of all."""
-        largest = self.nodes.agg(F.max(F.array_max(F.transform("e", lambda x: F.abs(x)))).cast("double")).first()[0] or 1.0
+    def _packed(self, kind: np.dtype) -> DataFrame:
+        """nid and q, the vector's components one after the other."""
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
-                q = np.rint(_matrix(part["e"]) * (127 / largest)).astype(np.int8)
+                q = _matrix(part["e"], kind)
                 yield pa.RecordBatch.from_arrays([part["nid"], pa.array([x.tobytes() for x in q], pa.binary())], names=["nid", "q"])
 
         return written(self.nodes.select("nid", "e").mapInArrow(run, "nid long, q binary"), "ann-packed")
 
     def _descended(self) -> DataFrame:
-        packed = self._packed()
-        trees = Trees(self.entries.astype(np.float32), self.n)
+        double = self.nodes.schema["e"].dataType.elementType.typeName() == "double"
+        kind = np.dtype(np.float64 if double else np.float32)
+        packed = self._packed(kind)
+        trees = Trees(self.entries, self.n)
 
         def leaves(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
-                x = np.frombuffer(b"".join(part["q"].to_pylist()), np.int8).reshape(part.num_rows, -1).astype(np.float32) if part.num_rows else np.zeros((0, 1), np.float32)
-                for leaf in trees.leaves(x * scale):
+                for leaf in trees.leaves(_unpacked(part["q"], kind)):
                     yield pa.RecordBatch.from_arrays([pa.array(leaf), part["nid"], part["q"]], names=["leaf", "nid", "q"])
 
-        scale = np.float32((np.abs(self.entries).max() if self.entries.size else 1.0) / 127)
         dealt = written(packed.mapInArrow(leaves, "leaf long, nid long, q binary"), "ann-leaves")
         sizes = dealt.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / (LEAF * 1.5)).alias("parts"))
         dealt = dealt.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("nid", "leaf"), F.col("parts")))
         groups = dealt.groupBy("leaf", "part").agg(F.collect_list(F.struct("nid", "q")).alias("members"))
-        graph = written(_merge(groups.mapInArrow(_compared(LIST), _LISTS_SQL)), "ann-graph")
+        graph = written(_merge(groups.mapInArrow(_compared(LIST, kind), _LISTS_SQL)), "ann-graph")
         for round_ in range(ROUNDS):
             edges = graph.select("nid", F.explode(F.slice("v", 1, LIST)).alias("v"))
             chance = F.xxhash64("nid", "v", F.lit(round_))
@@ -190,7 +194,7 @@ class Index:
             edges = edges.withColumn("o", out).where(F.col("o") <= SIDE).withColumn("i", into).where(F.col("i") <= SIDE).select("nid", "v")
             both = edges.unionByName(edges.select(F.col("v").alias("nid"), F.col("nid").alias("v")))
             near = both.join(packed.withColumnRenamed("nid", "v"), "v").groupBy("nid").agg(F.collect_list(F.struct("v", "q")).alias("members"))
-            found = near.mapInArrow(_compared(HANDED), _LISTS_SQL)
+            found = near.mapInArrow(_compared(HANDED, kind), _LISTS_SQL)
             better = written(_merge(graph.unionByName(found)), "ann-graph")
             forget(graph)
             graph = better

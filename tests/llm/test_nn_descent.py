@@ -72,3 +72,14 @@ def test_blocks_of_queries(spark, tmp_path, monkeypatch):
     rows = [(i, rng.normal(size=6).tolist()) for i in range(900)]
     got, want = run(spark, tmp_path, rows), brute(rows)
     assert set(got) == set(want) and recall(got, want) >= 0.9
+
+
+def test_one_huge_component(spark, tmp_path, monkeypatch):
+    """A vector far out does not blur the others, where few nodes are entries."""
+    monkeypatch.setattr(ann, "SAMPLE", 64)
+    monkeypatch.setattr(ann, "WIDTH", 100)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(3000)]
+    rows[7] = (7, [1e30] + [0.0] * 7)
+    got, want = run(spark, tmp_path, rows), brute(rows)
+    assert set(got) == set(want) and recall(got, want) >= 0.9
