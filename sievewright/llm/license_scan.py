@@ -1,7 +1,9 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with templates.
 
-A block (a line, or a window of a longer line) matches a template if it holds at
-least THRESHOLD of the template's distinct tokens. Tokens are ordered by the
+A block (WINDOW words on end of the whole text; line ends do not cut it) matches a
+template if it holds at least THRESHOLD of the template's distinct tokens. Blocks
+start at every word that templates know: any other block that matches holds no more
+than the one from its first such word. Tokens are ordered by the
 number of documents they occur in, rarest first. A match must share one of the
 template's first tokens in that order (prefix filter), hold enough tokens
 (length filter) and have enough tokens left behind the first shared one
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER
 
 THRESHOLD = 0.8
-#: A longer line is cut into windows of so many words, each starting STEP words after the last.
+#: Words of a block; words between the starts of the windows that oracle() takes of longer lines.
 WINDOW, STEP = 48, 24
 
 # Phrases and their labels.
@@ -82,35 +84,47 @@ def _phrase(words: str) -> str:
 def template_matches(text: Column, order: list[str], templates: dict[str, str]) -> Column:
     """An array of (label, held) of all templates that some block of text matches; held: the share of its tokens."""
     rank = {t: i for i, t in enumerate(order)}
-    rows, prefixes = [], set()
+    rows, prefixes, least = [], set(), WINDOW
     for label, wording in templates.items():
         ordered = sorted(tokens(wording), key=rank.__getitem__)
         need = _need(len(ordered))
         prefix = ordered[: len(ordered) - need + 1]
         prefixes |= set(prefix)
+        least = min(least, need)
         literal = (F.lit(label).alias("label"), F.array(*map(F.lit, ordered)).alias("tokens"), F.array(*map(F.lit, prefix)).alias("prefix"), F.lit(need).alias("need"))
         rows.append(F.struct(*literal))
     index, vocabulary = F.array(*rows), F.array(*map(F.lit, order))
-    lines = F.filter(F.split(text, r"[\r\n]+"), lambda line: line.rlike(_either(sorted(prefixes))))
+    rare = F.array(*map(F.lit, sorted(prefixes)))
 
-    def windows(words: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(words) - 1), F.lit(STEP))
-        return F.when(F.size(words) <= WINDOW, F.array(words)).otherwise(F.transform(starts, lambda i: F.slice(words, i + 1, WINDOW)))
+    def known(words: Column) -> Column:
+        return F.filter(F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w"))), lambda k: F.array_contains(vocabulary, k["w"]))
+
+    def blocks(spots: Column, rares: Column) -> Column:
+        # The known tokens of the block from each known word on, if one of them is in a prefix.
+        def block(k: Column, j: Column) -> Column:
+            held = F.filter(F.slice(spots, j + 1, WINDOW), lambda x: x["i"] < k["i"] + WINDOW)
+            return F.when(F.exists(rares, lambda p: (p >= k["i"]) & (p < k["i"] + WINDOW)), F.array_distinct(F.transform(held, lambda x: x["w"])))
+
+        return F.array_distinct(F.filter(F.transform(spots, block), lambda x: x.isNotNull() & (F.size(x) >= least)))
+
+    def within(spots: Column) -> Column:
+        rares = F.transform(F.filter(spots, lambda k: F.array_contains(rare, k["w"])), lambda k: k["i"])
+        return F.transform(F.array(rares), lambda p: blocks(spots, p))[0]
 
     def joined(block: Column) -> Column:
-        # The block's tokens that templates know, in the global order.
-        known = F.filter(vocabulary, lambda v: F.array_contains(block, v))
-        pair = F.transform(F.array(known), lambda k: F.filter(index, lambda t: _may(k, F.size(F.array_distinct(block)), t)))
+        # The block's tokens in the global order.
+        ordered = F.filter(vocabulary, lambda v: F.array_contains(block, v))
+        pair = F.transform(F.array(ordered), lambda k: F.filter(index, lambda t: _may(k, F.size(block), t)))
         exact = F.transform(pair[0], lambda t: F.struct(t["label"].alias("label"), F.size(F.array_intersect(block, t["tokens"])).alias("n"), F.size(t["tokens"]).alias("all"), t["need"].alias("need")))
         return F.transform(F.filter(exact, lambda t: t["n"] >= t["need"]), lambda t: F.struct(t["label"].alias("label"), (t["n"] / t["all"]).alias("held")))
 
-    found = F.flatten(F.transform(F.flatten(F.transform(lines, lambda line: F.transform(F.array(_words(line)), windows)[0])), joined))
+    found = F.flatten(F.transform(F.transform(F.array(known(_words(text))), within)[0], joined))
     none = F.array().cast("array<struct<label:string,held:double>>")
     return F.when(text.rlike(_either(sorted(prefixes))), found).otherwise(none)
 
 
 def _may(known: Column, length: Column, t: Column) -> Column:
-    """Whether a block may match t, by its known tokens in order and its number of distinct tokens."""
+    """Whether a block may match t, by its known tokens in order and their number."""
     first = F.get(F.array_intersect(t["prefix"], known), F.lit(0))
     behind = F.least(F.size(t["tokens"]) - F.array_position(t["tokens"], first), F.size(known) - F.array_position(known, first))
     return first.isNotNull() & (length >= t["need"]) & (behind + 1 >= t["need"])

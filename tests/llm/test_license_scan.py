@@ -80,3 +80,14 @@ def test_any_order_gives_the_same_matches(spark):
 def test_need(size):
     need = scan._need(size)
     assert need / size >= scan.THRESHOLD - 1e-12 and (need - 1) / size < scan.THRESHOLD
+
+
+def test_blocks_cross_line_ends_and_start_anywhere(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\r\n# License, v. 2.0."
+    # Seven of eight tokens over 42 words from place 13 on: no window that starts at 0, 24, 48 ... holds them.
+    far = "x " * 13 + "licensed under the apache license " + "x " * 35 + "version 2 " + "x " * 100
+    apart = "x " * 13 + "licensed under the apache license " + "x " * 42 + "version 2 " + "x " * 100
+    rows = [(1, bsd), (2, mpl), (3, far), (4, apart), (5, bsd.replace("\n", "\n" + "y " * 30))]
+    got = {r.doc_id: r.labels for r in scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "bsd", 2: "mpl-2.0", 3: "apache-2.0", 4: "", 5: "bsd"}
