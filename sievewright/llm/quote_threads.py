@@ -3,7 +3,9 @@
 Leading '>' marks give each line its quote level. A run of lines of one level is a quoted
 passage; passages and the messages' own bodies, paragraphs and lines are normalised
 and hashed. A passage is linked to its original, the first message that says it:
-in the same conversation if it is earlier there, else anywhere. Originals
+in the same conversation if it is earlier there, else anywhere, if it comes before by
+(conv_id, turn); what only conversations of larger ids say is no original, so links
+make no rings. Originals
 are aggregated to one row a hash first, so joins are many to one and a phrase
 that everyone repeats multiplies nothing. A message replies to the original of its
 outermost linked quote; thread starts follow by pointer jumping.
@@ -61,10 +63,10 @@ def parse(text: bytes) -> tuple[bytes, list[tuple[int, bytes]]]:
 
 
 def _digests(passage: bytes) -> list[bytes]:
-    """Hashes of a passage: of the whole, then of each line that says anything."""
+    """Hashes of a passage: of the whole, then of each paragraph and of each line that says anything."""
     from xxhash import xxh3_128_digest
 
-    parts = [normal(passage), *(normal(x) for x in passage.split(b"\n"))]
+    parts = [normal(passage), *(normal(x) for x in re.split(rb"\n\s*\n", passage)), *(normal(x) for x in passage.split(b"\n"))]
     return [xxh3_128_digest(p) for p in dict.fromkeys(parts) if p]
 
 
@@ -103,7 +105,7 @@ def links(messages: DataFrame) -> DataFrame:
 
     A message without conversation or turn has no place and takes no part. Of passages
     the outermost, then the first counts; of a passage's parts the whole before
-    its lines; an original in the same conversation before one elsewhere.
+    its paragraphs, these before its lines; an original in the same conversation before one elsewhere.
     """
     placed = messages.where("conv_id is not null and turn is not null")
     said = placed.select("conv_id", "turn", "rid", F.explode("units").alias("hash"))

@@ -122,3 +122,10 @@ def test_repeated_rows_and_long_chains(spark, tmp_path):
 @pytest.mark.parametrize("rows", [[], [(1, 0, "user", "alone")]])
 def test_few_rows(spark, tmp_path, rows):
     assert len(run(spark, tmp_path, rows)) == len(rows)
+
+
+def test_rewrapped_paragraphs_of_a_longer_message(spark, tmp_path):
+    said = "first words\nof one\n\nsecond words\nof two\n\nthird words"
+    rows = [(1, 0, "user", said), (1, 1, "assistant", "> second\n> words of two\n>\n> first words of\n> one\nreply")]
+    got = {r.turn: r for r in run(spark, tmp_path, rows)}
+    assert (got[1].parent_conv, got[1].parent_turn, got[1].n_linked) == (1, 0, 1)
