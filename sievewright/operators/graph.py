@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import forget, written
-
+from .joins import hot_keys, spread_join
 
 #: Edges to a partition of the labels.
 EDGES = 100_000
@@ -16,20 +16,31 @@ def components(links: DataFrame) -> DataFrame:
     """cid and comp, the smallest cid it is connected with, of all cids in links (a, b).
 
     Labels go to neighbours, then labels of labels are taken, until none changes;
-    every round is a written table.
+    every round is a written table. Hubs, and labels that many share, are dealt over several tasks.
     """
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    # There are no more labels than edges, so few edges need few partitions.
+    # There are no more labels than edges, so few edges need few partitions, and no hub of theirs is large.
     parts = both.count() // EDGES + 1
+    wide = parts > 1
+    hubs = written(hot_keys(both, ["b"]), "hubs") if wide else None
     labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cid"), F.least("a", "m").alias("comp"))
     labels = written(labels.coalesce(parts), "labels")
     while True:
-        near = both.join(labels, both["b"] == labels["cid"]).groupBy("a").agg(F.min("comp").alias("m"))
+        own = labels.withColumnRenamed("cid", "b")
+        near = spread_join(both, own, hubs, ["b"], ["a"]) if wide else both.join(own, "b")
+        near = near.groupBy("a").agg(F.min("comp").alias("m"))
         step = labels.join(near, labels["cid"] == near["a"]).select("cid", F.col("comp").alias("was"), F.least("comp", "m").alias("via"))
         above = labels.select(F.col("cid").alias("via"), F.col("comp").alias("jump"))
-        new = written(step.join(above, "via").select("cid", F.least("via", "jump").alias("comp"), "was").coalesce(parts), "labels")
+        jumped = spread_join(step, above, hot_keys(step, ["via"]), ["via"], ["cid"]) if wide else step.join(above, "via")
+        new = written(jumped.select("cid", F.least("via", "jump").alias("comp"), "was").coalesce(parts), "labels")
         forget(labels)
         labels = new
         if labels.where("comp < was").isEmpty():
             forget(both)
-            return labels.select("cid", "comp")
+            return _kept(labels.select("cid", "comp"), labels)
+
+
+def _kept(df: DataFrame, table: DataFrame) -> DataFrame:
+    """df over a written table, which forget(df) deletes."""
+    df._written_at = table._written_at
+    return df
