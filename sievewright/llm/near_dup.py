@@ -9,32 +9,36 @@ SMALL classes all are compared by signature; in a larger one all with its
 first class, and it branches again if it holds classes not known to be connected.
 Candidates are confirmed on full sets. As only connection
 counts, no pair is looked at whose classes are already connected, so a large group of
-near copies costs a star, not its square. Nodes that are still large
+near copies costs a star, not its square. The trees are taken round after round (ROUNDS):
+what one round connects is one part in the next, which takes up only nodes that hold
+several parts. Rows carry sizes and signatures, so no level joins classes again. Nodes that are still large
 at DEPTH are compared in square cells of small blocks: nothing is dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from math import floor, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
+from ..operators.joins import hot_keys, spread_join
 from .common import batches, blobs, forget, mixed, written
 
-SHINGLE, NUMERATOR = 5, 85
-#: Signature places, trees, branches of a root, chance that another node has two. At the threshold a
-#: pair is missed by a tree's first level with chance 0.15 ** 2, by its first four with 0.16, by all trees with 2e-5.
-PLACES, TREES, ROOT_BRANCHES, SECOND = 128, 6, 2, 0.18
+SHINGLE = 5
+#: Signature places, branches of a root, chance at most that all trees miss a pair at the threshold after four levels.
+PLACES, ROOT_BRANCHES, MISSED = 128, 2, 3e-5
 SEED = 8
-SMALL, DEPTH, TRIED = 256, 5, (0,)
+SMALL, DEPTH = 256, 5
+#: Trees that are searched together: the first alone, as it connects the large groups; the last round takes all that are left.
+ROUNDS = (1,)
 #: Classes to a block of a cell, about.
 CELL = 400
-#: Of 128 low bytes a pair at the threshold shares 109 +- 4; fewer than this is 5 deviations off.
-AGREE = 88
 #: Buckets of document ids that a second reading of the texts is narrowed by.
 BUCKETS = 1 << 20
 
@@ -95,35 +99,81 @@ def _child(place: Column) -> Column:
     return F.xxhash64("node", place, F.substring("sig", place * 4 + 1, F.lit(4))).alias("child")
 
 
-def _roots(classes: DataFrame) -> DataFrame:
-    """Every class in every tree, at ROOT_BRANCHES different places of each."""
-    rng = np.random.default_rng(SEED)
-    ways = [F.struct(F.lit(tree).cast("long").alias("node"), F.lit(int(place)).alias("place")) for tree in range(TREES) for place in rng.choice(PLACES, ROOT_BRANCHES, replace=False)]
-    rows = classes.select("cid", F.col("n_shingles").alias("n"), "sig", F.explode(F.array(*ways)).alias("w")).select("cid", "n", "sig", "w.node", "w.place")
-    return rows.select(_child(F.col("place")).alias("node"), "cid", "n", F.col("cid").alias("comp"))
-
-
-def _by_size(rows: DataFrame) -> DataFrame:
-    """Nodes cut by size: each class goes to its own size's child and to the next, and sizes within the threshold share one. Nothing is lost by it."""
-    own = F.floor(F.log("n") / np.log(1 / (NUMERATOR / 100 - 0.001)))
-    return rows.withColumn("_size", F.explode(F.array(own, own + 1))).select(F.xxhash64("node", "_size").alias("node"), "cid", "n", "comp")
+@dataclass(frozen=True)
+class Rules:
+    """percent: the least similarity of a link. The rest follows from it.
 
+    agree: of the signatures' low bytes, fewer equal ones than this lie five deviations off at the threshold.
+    second: the chance that a node below the root has a second place, so that a pair at the threshold
+    meets again in one child on average, and less similar ones die out.
+    trees: so many that all miss such a pair with chance MISSED at most.
+    """
 
-def _children(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each node's one place, or two with chance SECOND, by its hash: classes at the threshold
-    meet again in one child on average, less similar ones die out."""
+    percent: int = 85
+    agree: int = field(init=False)
+    second: float = field(init=False)
+    trees: int = field(init=False)
+
+    def __post_init__(self) -> None:
+        t = self.percent / 100
+        second = 1 / t - 1
+        lost = 0.0
+        for _ in range(3):
+            x = 1 - t + t * lost
+            lost = x * (1 - second + second * x)
+        miss, trees = (1 - t + t * lost) ** ROOT_BRANCHES, 1
+        while miss**trees > MISSED:
+            trees += 1
+        object.__setattr__(self, "agree", floor(PLACES * t - 5 * sqrt(PLACES * t * (1 - t))))
+        object.__setattr__(self, "second", second)
+        object.__setattr__(self, "trees", trees)
+
+    def rounds(self) -> list[range]:
+        """The trees, round after round."""
+        out, start = [], 0
+        for n in (*ROUNDS, self.trees):
+            if start < self.trees:
+                out.append(range(start, min(self.trees, start + n)))
+                start += n
+        return out
+
+
+_ROW = ("cid", "n", "low", "sig", "comp")
+
+
+def _roots(classes: DataFrame, trees: range) -> DataFrame:
+    """Every class (_ROW) in every tree of trees, at ROOT_BRANCHES different places of each."""
+    ways = []
+    for tree in trees:
+        places = np.random.default_rng(SEED + tree).choice(PLACES, ROOT_BRANCHES, replace=False)
+        ways += [F.struct(F.lit(tree).cast("long").alias("node"), F.lit(int(place)).alias("place")) for place in places]
+    rows = classes.select(*_ROW, F.explode(F.array(*ways)).alias("w")).select(*_ROW, "w.node", "w.place")
+    return rows.select(_child(F.col("place")).alias("node"), *_ROW)
+
+
+def _by_size(rows: DataFrame, rules: Rules) -> DataFrame:
+    """Nodes cut by size: each class goes to its own size's child and to the next, and sizes within the threshold
+    share one. Nothing is lost by it. Nodes whose sizes (least to most) are all within the threshold stay whole."""
+    own = F.floor(F.log("n") / np.log(1 / (rules.percent / 100 - 0.001)))
+    near = 100 * F.col("least") >= rules.percent * F.col("most")
+    sizes = F.explode(F.when(near, F.array(F.lit(0).cast("long"))).otherwise(F.array(own, own + 1)))
+    return rows.withColumn("_size", sizes).select(F.xxhash64("node", "_size").alias("node"), *_ROW)
+
+
+def _children(rows: DataFrame, rules: Rules) -> DataFrame:
+    """Each node's one place, or two with the chance second, by its hash."""
     h = F.xxhash64("node", F.lit(SEED))
     first = F.pmod(h, F.lit(PLACES)).cast("int")
     second = F.pmod(first + 1 + F.pmod(F.shiftright(h, 32), F.lit(PLACES - 1)), F.lit(PLACES)).cast("int")
-    two = F.pmod(F.shiftright(h, 12), F.lit(1000)) < int(1000 * SECOND)
+    two = F.pmod(F.shiftright(h, 12), F.lit(1000)) < int(1000 * rules.second)
     dealt = rows.withColumn("place", F.explode(F.when(two, F.array(first, second)).otherwise(F.array(first))))
-    return dealt.join(classes.select("cid", "sig"), "cid").select(_child(F.col("place")).alias("node"), "cid", "n", "comp")
+    return dealt.select(_child(F.col("place")).alias("node"), *_ROW)
 
 
-def _may_link(n_a: np.ndarray, n_b: np.ndarray, low_a: np.ndarray, low_b: np.ndarray) -> np.ndarray:
+def _may_link(rules: Rules, n_a: np.ndarray, n_b: np.ndarray, low_a: np.ndarray, low_b: np.ndarray) -> np.ndarray:
     """Pairs whose sizes and signatures allow the threshold."""
-    sizes = 100 * np.minimum(n_a, n_b) >= NUMERATOR * np.maximum(n_a, n_b)
-    return sizes & ((low_a == low_b).sum(1) >= AGREE)
+    sizes = 100 * np.minimum(n_a, n_b) >= rules.percent * np.maximum(n_a, n_b)
+    return sizes & ((low_a == low_b).sum(1) >= rules.agree)
 
 
 _EDGES = pa.schema([("node", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("rest", pa.bool_())])
@@ -141,14 +191,14 @@ def _portions(sizes: np.ndarray, most: int = 200_000) -> Iterator[range]:
         yield range(start, len(sizes))
 
 
-def _holds(x: bytes, y: bytes) -> bool:
+def _holds(x: bytes, y: bytes, percent: int) -> bool:
     """Whether two whole sets reach the threshold."""
     s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     both = len(np.intersect1d(s, t, assume_unique=True))
-    return 100 * both >= NUMERATOR * (len(s) + len(t) - both)
+    return 100 * both >= percent * (len(s) + len(t) - both)
 
 
-def _forests(mode: str):
+def _forests(mode: str, rules: Rules):
     """For nodes (node, members of cid, n, low, comp, nodes, members): edges between members that may link and are not connected.
 
     spanning: a spanning forest by signatures, and whether there were other edges (rest).
@@ -179,7 +229,7 @@ def _forests(mode: str):
                 keep = np.zeros(len(i), bool)
                 for at in range(0, len(i), 50_000):
                     x, y = i[at : at + 50_000], j[at : at + 50_000]
-                    keep[at : at + 50_000] = _may_link(n[x], n[y], low[x], low[y])
+                    keep[at : at + 50_000] = _may_link(rules, n[x], n[y], low[x], low[y])
                 i, j, k = i[keep], j[keep], k[keep]
                 numbers, first = np.unique(k, return_index=True)
                 for number, lo, hi in zip(numbers, first, np.append(first, len(k))[1:], strict=True):
@@ -189,7 +239,7 @@ def _forests(mode: str):
                     if mode == "ends":
                         out += [(nodes[number], cid[x], comp[x], False) for x in {x for pair in found for x in pair}]
                         continue
-                    chosen = _spanning(found, comp, (lambda x, y, sets=sets: _holds(sets[x].as_py(), sets[y].as_py())) if sets is not None else None)
+                    chosen = _spanning(found, comp, (lambda x, y, sets=sets: _holds(sets[x].as_py(), sets[y].as_py(), rules.percent)) if sets is not None else None)
                     out += [(nodes[number], min(cid[x], cid[y]), max(cid[x], cid[y]), len(chosen) < len(found)) for x, y in chosen]
             yield from batches(iter(out), _EDGES)
 
@@ -215,37 +265,43 @@ def _spanning(pairs: list[tuple[int, int]], comp: np.ndarray, holds=None) -> lis
     return out
 
 
-def _stars(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _stars(rules: Rules):
     """Members of large nodes that may link with the node's first class."""
-    for part in parts:
-        if not part.num_rows:
-            continue
-        cols = {c: part[c].to_numpy(zero_copy_only=False) for c in ("node", "cid", "n", "leader", "leader_n")}
-        low, other = (np.frombuffer(b"".join(part[c].to_pylist()), np.uint8).reshape(-1, PLACES) for c in ("low", "leader_low"))
-        keep = _may_link(cols["n"], cols["leader_n"], low, other)
-        yield pa.RecordBatch.from_arrays([pa.array(cols[c][keep]) for c in ("node", "leader", "cid")] + [pa.array(np.zeros(int(keep.sum()), bool))], schema=_EDGES)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            if not part.num_rows:
+                continue
+            cols = {c: part[c].to_numpy(zero_copy_only=False) for c in ("node", "cid", "n", "leader", "leader_n")}
+            low, other = (np.frombuffer(b"".join(part[c].to_pylist()), np.uint8).reshape(-1, PLACES) for c in ("low", "leader_low"))
+            keep = _may_link(rules, cols["n"], cols["leader_n"], low, other)
+            yield pa.RecordBatch.from_arrays([pa.array(cols[c][keep]) for c in ("node", "leader", "cid")] + [pa.array(np.zeros(int(keep.sum()), bool))], schema=_EDGES)
+
+    return run
 
 
 _SETS = pa.schema([("fp", pa.binary()), ("members", pa.binary())])
 
 
-def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """cid and the whole set (sorted 64-bit hashes) of every class of ids (cid), from the texts.
+def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame | None:
+    """cid and the whole set (sorted 64-bit hashes) of every class of ids (cid), from the texts; None if there are no ids.
 
     The texts are read again; rows that can't be wanted are passed over by a bitmap of
     BUCKETS hashed document ids, whose size does not depend on the data.
     """
     from xxhash import xxh3_128_digest
 
-    spark = docs.sparkSession
-    wanted = classes.select("cid", "fp", "head").join(ids, "cid", "left_semi")
-
     def bucket(doc_id: str) -> Column:
         return F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("long"), F.lit(-1))), F.lit(BUCKETS)).cast("int").alias("bucket")
 
+    wanted = written(classes.select("cid", "fp", bucket("head")).join(ids, "cid", "left_semi"), "near-wanted")
+    hits = wanted.select("bucket").distinct().toArrow()["bucket"].to_numpy()
+    if not len(hits):
+        forget(wanted)
+        return None
     hit = np.zeros(BUCKETS, bool)
-    hit[wanted.select(bucket("head")).distinct().toArrow()["bucket"].to_numpy()] = True
-    shared = spark.sparkContext.broadcast(np.packbits(hit))
+    hit[hits] = True
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(hit))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).astype(bool)
@@ -259,146 +315,178 @@ def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
             yield from batches(map(row, blobs(chosen["text"])), _SETS)
 
     sets = docs.select(bucket("doc_id"), "text").mapInArrow(run, "fp binary, members binary")
-    return sets.join(wanted.select("cid", "fp"), "fp").dropDuplicates(["cid"]).select("cid", "members")
+    out = written(sets.join(wanted.select("cid", "fp"), "fp").dropDuplicates(["cid"]).select("cid", "members"), "near-sets")
+    forget(wanted)
+    return out
 
 
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) whose full sets reach the threshold."""
+def _confirmed(sets: DataFrame, pairs: DataFrame, rules: Rules) -> DataFrame:
+    """Those of pairs (a, b) whose full sets (cid, members) reach the threshold. A class of many pairs is dealt over several tasks."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            keep = [_holds(x, y) for x, y in zip(part["x"].to_pylist(), part["y"].to_pylist(), strict=True)]
+            keep = [_holds(x, y, rules.percent) for x, y in zip(part["x"].to_pylist(), part["y"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([part["a"], part["b"]], schema=_LINKS).filter(pa.array(keep, pa.bool_()))
 
-    sets = written(_sets_of(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()), "near-sets")
-    full = pairs.join(sets.select(F.col("cid").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("cid").alias("b"), F.col("members").alias("y")), "b")
-    out = written(full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "near-links")
-    forget(sets)
-    return out
+    full = pairs
+    for end, other, name in (("a", "b", "x"), ("b", "a", "y")):
+        own = sets.select(F.col("cid").alias(end), F.col("members").alias(name))
+        full = spread_join(full, own, hot_keys(pairs, [end]), [end], [other])
+    return full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def _with_comp(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """rows with comp, the part that cid belongs to by labels: itself, if they don't hold it."""
+    rows = rows.drop("comp")
     if labels is None:
         return rows.withColumn("comp", F.col("cid"))
     return rows.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
 
+def _parts_of(rows: DataFrame) -> DataFrame:
+    """node, size, leader (the smallest cid), least and most (sizes of sets), of the nodes of rows that hold several parts."""
+    nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("leader"), F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    return nodes.where("c0 <> c1").drop("c0", "c1")
+
+
 _EDGE_COLUMNS = "node long, a long, b long, rest boolean"
 
 
 class _Search:
-    """What is known so far: confirmed links, pairs that were tried, labels of connected classes (None: no link)."""
+    """What is known so far: pairs that were tried, the sets they took, labels of connected classes (None: no link)."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame) -> None:
-        self.docs, self.classes = docs, classes
-        self.low = classes.select("cid", F.col("n_shingles").alias("n"), "low")
-        self.links: DataFrame | None = None
+    def __init__(self, docs: DataFrame, classes: DataFrame, rules: Rules) -> None:
+        self.docs, self.classes, self.rules = docs, classes, rules
         self.tried: DataFrame | None = None
+        self.sets: DataFrame | None = None
         self.labels: DataFrame | None = None
 
     def confirm(self, pairs: DataFrame) -> None:
         """Tries those of pairs (a, b) that were not tried before, and connects what is confirmed."""
         pairs = pairs.distinct()
-        pairs = written(pairs if self.tried is None else pairs.join(self.tried, ["a", "b"], "left_anti"), "near-pairs")
+        pairs = written(pairs if self.tried is None else pairs.join(self.tried.select("a", "b"), ["a", "b"], "left_anti"), "near-pairs")
         if pairs.isEmpty():
             return
-        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
-        self.connect(_confirmed(self.docs, self.classes, pairs))
+        self.fetch(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
+        good = written(_confirmed(self.sets, pairs, self.rules), "near-links")
+        tried = pairs.join(good.withColumn("good", F.lit(True)), ["a", "b"], "left").select("a", "b", F.coalesce("good", F.lit(False)).alias("good"))
+        self.tried = tried if self.tried is None else self.tried.unionByName(tried)
+        self.connect(good)
+
+    def fetch(self, ids: DataFrame) -> None:
+        """Adds the whole sets of those ids (cid) whose sets are not at hand yet."""
+        new = ids if self.sets is None else ids.join(self.sets.select("cid"), "cid", "left_anti")
+        if (sets := _sets_of(self.docs, self.classes, new)) is not None:
+            self.sets = sets if self.sets is None else self.sets.unionByName(sets)
 
     def connect(self, good: DataFrame) -> None:
-        if not good.isEmpty():
-            self.links = good if self.links is None else self.links.unionByName(good)
-            self.labels = components(self.links)
+        """New links join parts, of which there are few: only these are connected, then the labels follow."""
+        if good.isEmpty():
+            return
+        if self.labels is None:
+            self.labels = components(good)
+            return
+        ends = good.select("a", "b", F.monotonically_increasing_id().alias("k"))
+        for end in ("a", "b"):
+            own = self.labels.select(F.col("cid").alias(end), F.col("comp").alias(f"{end}_comp"))
+            ends = ends.join(own, end, "left").withColumn(f"{end}_comp", F.coalesce(f"{end}_comp", end))
+        parts = written(ends.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")).where("a <> b"), "near-parts")
+        if not parts.isEmpty():
+            found, old = components(parts), self.labels
+            moved = found.select(F.col("cid").alias("comp"), F.col("comp").alias("to"))
+            kept = spread_join(old, moved, hot_keys(old, ["comp"]), ["comp"], ["cid"], "left")
+            # A part without label of its own is a class that had no link.
+            alone = moved.join(old.select(F.col("cid").alias("comp")), "comp", "left_anti").select(F.col("comp").alias("cid"), F.col("to").alias("comp"))
+            kept = kept.select("cid", F.coalesce("to", "comp").alias("comp")).unionByName(alone)
+            self.labels = written(kept, "near-labels")
+            forget(old, found)
+        forget(parts)
 
     def forests(self, held: DataFrame) -> DataFrame:
         """Edges inside the nodes of held, each of which has few members."""
-        rows = held.select("node", "cid", "comp").join(self.low, "cid")
-        members = rows.groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp")).alias("members"))
-        return members.mapInArrow(_forests("spanning"), _EDGE_COLUMNS)
+        members = held.groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp")).alias("members"))
+        return members.mapInArrow(_forests("spanning", self.rules), _EDGE_COLUMNS)
+
+    def stars(self, held: DataFrame) -> DataFrame:
+        """Edges from the first class of each node of held; only pairs whose sizes allow them are looked at."""
+        sizes = 100 * F.least("n", "leader_n") >= self.rules.percent * F.greatest("n", "leader_n")
+        pairs = held.where((F.col("comp") != F.col("leader_comp")) & sizes)
+        return pairs.select("node", "cid", "n", "low", "leader", "leader_n", "leader_low").mapInArrow(_stars(self.rules), _EDGE_COLUMNS)
 
     def search_whole(self, held: DataFrame) -> None:
         """Tries every edge inside the nodes of held. Classes at edges that signatures allow bring their whole sets, so a set travels once a node, not once an edge."""
 
         def nodes_with(rows: DataFrame, *fields: str) -> DataFrame:
-            nodes = rows.groupBy("cid").agg(F.collect_set("node").alias("nodes"))
-            own = nodes.join(self.low, "cid")
-            if fields:
-                own = own.join(sets, "cid")
-            full = rows.select("node", "cid", "comp").join(own, "cid")
+            # A class has few nodes: some for each tree and level.
+            full = rows.withColumn("nodes", F.collect_set("node").over(Window.partitionBy("cid")))
             return full.groupBy("node").agg(F.collect_list(F.struct("cid", "n", "low", "comp", "nodes", *fields)).alias("members"))
 
-        ends = nodes_with(held).mapInArrow(_forests("ends"), _EDGE_COLUMNS)
-        ends = written(ends.select("node", F.col("a").alias("cid"), F.col("b").alias("comp")), "near-ends")
+        ends = nodes_with(held).mapInArrow(_forests("ends", self.rules), _EDGE_COLUMNS)
+        ends = written(ends.select("node", F.col("a").alias("cid")).join(held, ["node", "cid"]), "near-ends")
         if ends.isEmpty():
             return
-        sets = written(_sets_of(self.docs, self.classes, ends.select("cid").distinct()), "near-sets")
-        self.connect(written(nodes_with(ends, "members").mapInArrow(_forests("exact"), _EDGE_COLUMNS).select("a", "b").distinct(), "near-links"))
-        forget(sets, ends)
-
-    def stars(self, held: DataFrame) -> DataFrame:
-        """Edges from the first class of each node of held; only pairs whose sizes allow them are looked at."""
-        lead = self.low.select(F.col("cid").alias("leader"), F.col("low").alias("leader_low"))
-        sizes = 100 * F.least("n", "leader_n") >= NUMERATOR * F.greatest("n", "leader_n")
-        pairs = held.where((F.col("comp") != F.col("leader_comp")) & sizes).select("node", "cid", "n", "leader", "leader_n")
-        pairs = pairs.dropDuplicates(["cid", "leader"]).join(self.low.select("cid", "low"), "cid").join(lead, "leader")
-        return pairs.select("node", "cid", "n", "low", "leader", "leader_n", "leader_low").mapInArrow(_stars, _EDGE_COLUMNS)
-
-    def first_edges(self, held: DataFrame) -> DataFrame:
-        """Small nodes' forests and large ones' stars, tried; a written table."""
-        small, large = held.where(F.col("size") <= SMALL), held.where(F.col("size") > SMALL)
-        edges = written(self.forests(small).unionByName(self.stars(large)), "near-edges")
-        self.confirm(edges.select("a", "b"))
-        return edges
-
-    def held(self, rows: DataFrame, last: bool) -> tuple[DataFrame, bool]:
-        """The rows in nodes of more than one connected class, with the node's size and first class; whether some are in large nodes."""
-        first = [F.min_by(c, "cid").alias(f"leader_{c}") for c in ("n", "comp")]
-        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("leader"), *first, F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-        found = rows.join(nodes.drop("c0", "c1"), "node")
+        self.fetch(ends.select("cid").distinct())
+        full = ends.join(self.sets, "cid")
+        links = nodes_with(full, "members").mapInArrow(_forests("exact", self.rules), _EDGE_COLUMNS).select("a", "b").distinct()
+        self.connect(written(links, "near-links"))
+        forget(ends)
+
+    def held(self, rows: DataFrame, last: bool) -> DataFrame | None:
+        """The rows in nodes of several parts, with the node's size, its least and largest set, and of large nodes the first class; None if there are none."""
+        nodes = written(_parts_of(rows), "near-nodes")
+        if nodes.isEmpty():
+            forget(nodes)
+            return None
+        # The first class of each large node, once a node: its row brings it to all others with the node's size.
+        lead = nodes.where(F.col("size") > SMALL).join(rows.withColumnRenamed("cid", "leader"), ["node", "leader"])
+        lead = lead.select("node", F.col("n").alias("leader_n"), F.col("comp").alias("leader_comp"), F.col("low").alias("leader_low"))
+        nodes_with = written(nodes.join(lead, "node", "left"), "near-nodes")
+        found = spread_join(rows, nodes_with, hot_keys(nodes, ["node"], "size"), ["node"], ["cid"])
+        # Signatures go on to children only.
+        found = found.withColumn("sig", F.when(F.col("size") > SMALL, F.col("sig")))
         found = written(_cells(found) if last else found, "near-held")
-        return found, not found.where(F.col("size") > SMALL).isEmpty()
+        forget(nodes, nodes_with)
+        return found
 
-    def run(self) -> DataFrame | None:
-        """All trees, level by level. After the levels in TRIED the edges so far are tried,
-        so that large groups of near copies are connected and stay out of the levels below.
-        Where an edge of a small node's forest is refused and others were held
-        back, these follow at the end."""
-        rows = written(_roots(self.classes), "near-rows")
-        edges: DataFrame | None = None
-        every: DataFrame | None = None
-        waiting: DataFrame | None = None
+    def descend(self, rows: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+        """Level by level: the members of small nodes, and their edges. Each level's edges are tried at once, so
+        that large groups of near copies are connected and stay out of the levels below."""
         for depth in range(DEPTH + 1):
-            held, large = self.held(rows, depth == DEPTH)
-            forget(rows)
-            waiting = held if waiting is None else waiting.unionByName(held)
-            every = held if every is None else every.unionByName(held)
-            rows = held.where(F.col("size") > SMALL).select("node", "cid", "n", "comp")
-            if depth in TRIED or not large:
-                tried = self.first_edges(waiting)
-                edges, waiting = tried if edges is None else edges.unionByName(tried), None
-                rows = self.still_open(rows)
-            if not large:
-                break
-            if depth == 0:
-                rows = _by_size(rows)
-            elif depth + 1 < DEPTH:
-                rows = _children(rows, self.classes)
+            held = self.held(rows, depth == DEPTH)
+            if held is None:
+                return
+            small, large = held.where(F.col("size") <= SMALL), held.where(F.col("size") > SMALL)
+            deeper = not large.isEmpty()
+            edges = self.forests(small)
+            edges = written(edges.unionByName(self.stars(large)) if deeper else edges, "near-edges")
+            self.confirm(edges.select("a", "b"))
+            yield small, edges
+            if not deeper:
+                return
+            rows = _with_comp(large, self.labels)
+            rows = _by_size(rows, self.rules) if depth == 0 else rows.select("node", *_ROW) if depth + 1 == DEPTH else _children(rows, self.rules)
+            # What comes of one part by now is not held again.
             rows = written(rows, "near-rows")
-        rest = edges.where("rest")
-        if self.links is not None:
-            rest = rest.join(self.links, ["a", "b"], "left_anti")
-        again = every.where(F.col("size") <= SMALL).select("node", "cid").join(rest.select("node").distinct(), "node", "left_semi")
-        self.search_whole(written(_with_comp(again, self.labels), "near-again"))
-        return self.labels
 
-    def still_open(self, rows: DataFrame) -> DataFrame:
-        """Of rows, with what is known by now, those in nodes of several connected classes."""
-        rows = _with_comp(rows.drop("comp"), self.labels)
-        nodes = rows.groupBy("node").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-        return rows.join(nodes.select("node"), "node", "left_semi")
+    def run(self) -> DataFrame | None:
+        """All trees, round after round. Where an edge of a small node's forest is refused and others were held
+        back, these follow at the end."""
+        own = self.classes.select("cid", F.col("n_shingles").alias("n"), "low", "sig")
+        members: DataFrame | None = None
+        rest: DataFrame | None = None
+        for trees in self.rules.rounds():
+            for small, edges in self.descend(_roots(_with_comp(own, self.labels), trees)):
+                small, more = small.select("node", "cid", "n", "low"), edges.where("rest").select("node", "a", "b")
+                members = small if members is None else members.unionByName(small)
+                rest = more if rest is None else rest.unionByName(more)
+        if self.tried is not None:
+            refused = rest.join(self.tried.where("good"), ["a", "b"], "left_anti").select("node").distinct()
+            whole = written(_with_comp(members.join(refused, "node", "left_semi"), self.labels), "near-whole")
+            self.search_whole(whole.join(_parts_of(whole).select("node"), "node", "left_semi"))
+        return self.labels
 
 
 def _cells(held: DataFrame) -> DataFrame:
@@ -410,31 +498,32 @@ def _cells(held: DataFrame) -> DataFrame:
     return dealt.withColumn("node", cell).withColumn("size", F.lit(1).cast("long")).drop("blocks", "mine", "other")
 
 
-def _resolved(docs: DataFrame) -> DataFrame:
+def _resolved(docs: DataFrame, rules: Rules) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, kept and comp (null for empty sets) of every row."""
     members = written(sketch(docs), "near-sketch")
-    filled = members.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+    filled = members.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
     classes = written(_low(filled.withColumn("cid", F.monotonically_increasing_id())), "near-classes")
-    labels = _Search(docs, classes).run()
-    owned = _with_comp(classes.select("cid", "fp", "head"), labels)
-    heads = owned.groupBy("comp").agg(F.min("head").alias("component_id"))
-    owned = owned.join(heads, "comp").select("fp", "component_id", "comp")
-    rows = members.select("doc_id", "text_hash", "fp", "n_shingles").join(owned, "fp", "left")
+    labels = _Search(docs, classes, rules).run()
+    owned = _with_comp(classes.select("cid", "fp", "head", "copies"), labels)
+    heads = owned.groupBy("comp").agg(F.min("head").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    owned = written(spread_join(owned, heads.drop("size"), hot_keys(heads, ["comp"], "size"), ["comp"], ["cid"]).select("fp", "copies", "component_id", "comp"), "near-owned")
+    rows = members.select("doc_id", "text_hash", "fp", "n_shingles")
+    rows = spread_join(rows, owned.drop("copies"), hot_keys(owned, ["fp"], "copies"), ["fp"], ["doc_id", "text_hash"], "left")
     rows = rows.withColumn("component_id", F.when(F.col("comp").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")))
     return rows.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "comp")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of docs (doc_id, text).
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of docs (doc_id, text); links have a similarity of percent or more.
 
     Null text and texts without words have empty sets and stay alone. A null doc_id is never
     the smallest of its component; where all are null, component_id is null and the rows
     are kept. Repeated rows get equal results. Other columns are left out.
     """
-    return _resolved(docs).select("doc_id", "n_shingles", "component_id", "kept")
+    return _resolved(docs, Rules(percent)).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-_LOW = pa.schema([("cid", pa.int64()), ("fp", pa.binary()), ("head", pa.int64()), ("n_shingles", pa.int64()), ("sig", pa.binary()), ("low", pa.binary())])
+_LOW = pa.schema([("cid", pa.int64()), ("fp", pa.binary()), ("head", pa.int64()), ("copies", pa.int64()), ("n_shingles", pa.int64()), ("sig", pa.binary()), ("low", pa.binary())])
 
 
 def _low(classes: DataFrame) -> DataFrame:
@@ -443,22 +532,24 @@ def _low(classes: DataFrame) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             low = pa.array([x[::4] for x in part["sig"].to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([part[c] for c in ("cid", "fp", "head", "n_shingles", "sig")] + [low], schema=_LOW)
+            yield pa.RecordBatch.from_arrays([part[c] for c in ("cid", "fp", "head", "copies", "n_shingles", "sig")] + [low], schema=_LOW)
 
-    return classes.mapInArrow(run, "cid long, fp binary, head long, n_shingles long, sig binary, low binary")
+    return classes.mapInArrow(run, "cid long, fp binary, head long, copies long, n_shingles long, sig binary, low binary")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """docs with one row of each component: one that has its smallest doc_id (of several, that of the least text hash).
 
     Rows without shingles stay, repeated ones once. The texts are dealt out once, by id and text hash.
+    docs may have any other columns.
     """
-    kept = _resolved(docs).where("kept").select(F.coalesce("doc_id", F.lit(-1)).alias("k"), F.col("text_hash").alias("h"), "comp")
-    alone = F.when(F.col("comp").isNull(), F.struct("k", "h"))
-    chosen = kept.groupBy("comp", alone.alias("alone")).agg(F.min(F.struct("k", "h")).alias("c")).select(F.col("c.k").alias("_kept_k"), F.col("c.h").alias("_kept_h")).distinct()
-    rows = docs.withColumn("_k", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn("_h", _text_hash())
-    rows = rows.join(chosen, (F.col("_k") == F.col("_kept_k")) & (F.col("_h") == F.col("_kept_h")))
-    return rows.dropDuplicates(["_k", "_h"]).select(*docs.columns)
+    key = F.struct(F.coalesce("doc_id", F.lit(-1)).alias("k"), F.col("text_hash").alias("h"))
+    kept = _resolved(docs, Rules(percent)).where("kept").select(key.alias("key"), "comp")
+    alone = F.when(F.col("comp").isNull(), F.col("key"))
+    chosen = kept.groupBy("comp", alone.alias("alone")).agg(F.min("key").alias("key")).select("key").distinct()
+    own = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("k"), _text_hash().alias("h"))
+    rows = docs.select(own.alias("key"), F.struct(*docs.columns).alias("row"))
+    return rows.join(chosen, "key").dropDuplicates(["key"]).select("row.*")
 
 
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

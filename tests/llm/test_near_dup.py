@@ -98,10 +98,10 @@ def test_nodes_without_candidates():
     apart = [{"cid": c, "n": 10, "low": bytes([c]) * near_dup.PLACES, "comp": c} for c in range(3)]
     one = [{"cid": c, "n": 10, "low": bytes(near_dup.PLACES), "comp": 0} for c in range(4)]
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3], pa.int64()), pa.array([apart, one, []], pa.list_(member))], names=["node", "members"])
-    assert sum(b.num_rows for b in near_dup._forests("spanning")(iter([batch]))) == 0
+    assert sum(b.num_rows for b in near_dup._forests("spanning", near_dup.Rules())(iter([batch]))) == 0
     near = [{"cid": c, "n": 10, "low": bytes(near_dup.PLACES), "comp": c} for c in range(4)]
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array([near, apart], pa.list_(member))], names=["node", "members"])
-    (out,) = list(near_dup._forests("spanning")(iter([batch])))
+    (out,) = list(near_dup._forests("spanning", near_dup.Rules())(iter([batch])))
     assert out["a"].to_pylist() == [0, 0, 0] and out["b"].to_pylist() == [1, 2, 3] and out["rest"].to_pylist() == [True] * 3
 
 
@@ -119,3 +119,50 @@ def test_keep_one(spark):
     out = near_dup.keep_one(docs)
     assert out.columns == docs.columns
     assert sorted(r.doc_id for r in out.collect()) == [1, 2, 5]
+
+
+def test_keep_one_leaves_columns_of_any_name_alone(spark):
+    """Names that the operator uses itself, and a very long text."""
+    long = " ".join(f"w{i}" for i in range(30_000))
+    names = ("key", "row", "_k", "_h", "comp", "text_hash", "_salt")
+    rows = [(i, text, *(f"{n}{i}" for n in names)) for i, text in enumerate((long, long + " end", "p q r s t u", None))]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    assert sorted(map(tuple, near_dup.keep_one(docs).collect())) == sorted(rows[:1] + rows[2:])
+
+
+def test_keep_one_at_its_threshold(spark):
+    """Similarities of 0.8 and a little less, of sets that share their first words."""
+    words = [f"w{i}" for i in range(104)]
+    at = words[:84] + [f"x{i}" for i in range(10)]  # 80 of 100 + 90 - 80 shingles
+    more = words[:99]  # 95 of 100
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(at)), (3, " ".join(more))], "doc_id long, text string")
+    sets = [set(zip(*(t[k:] for k in range(5)))) for t in (words, at, more)]
+    assert len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.8
+    assert sorted(r.doc_id for r in near_dup.keep_one(docs).collect()) == [1, 2]
+    assert sorted(r.doc_id for r in near_dup.keep_one(docs, 70).collect()) == [1]
+
+
+def test_rules_follow_from_the_threshold():
+    assert (near_dup.Rules(85).agree, near_dup.Rules(85).trees) == (88, 6)
+    assert near_dup.Rules(80).trees > 6 and near_dup.Rules(80).agree < 88
+    for percent in (80, 85):
+        flat = [t for trees in near_dup.Rules(percent).rounds() for t in trees]
+        assert flat == list(range(near_dup.Rules(percent).trees))
+
+
+def test_a_large_group_makes_rows_in_proportion(spark, tmp_path, monkeypatch):
+    """Rows that are held in nodes grow with a group of near copies, not with its square; later trees pass it over."""
+    seen = []
+    held = near_dup._Search.held
+
+    def counting(self, rows, last):
+        out = held(self, rows, last)
+        seen.append(0 if out is None else out.count())
+        return out
+
+    monkeypatch.setattr(near_dup._Search, "held", counting)
+    monkeypatch.setattr(near_dup, "SMALL", 16)
+    base = [f"t{i}" for i in range(300)]
+    rows = [(i, " ".join([*base[: i % 290], f"n{i}", *base[i % 290 + 1 :]])) for i in range(400)]
+    assert run(spark, tmp_path, rows) == brute(rows)
+    assert seen[0] <= 2 * 400 and sum(seen[1:]) <= 4 * 400
