@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.graph import components
+from ..operators.graph import EDGES, components
 from ..operators.joins import hot_keys, spread_join
 from .common import batches, blobs, forget, mixed, written
 
@@ -37,6 +37,8 @@ SEED = 8
 SMALL, DEPTH = 256, 5
 #: Trees that are searched together: the first alone, as it connects the large groups; the last round takes all that are left.
 ROUNDS = (1,)
+#: Nodes that may be broadcast: their rows have some 60 bytes, those of large ones 200.
+FEW = 100_000
 #: Classes to a block of a cell, about.
 CELL = 400
 #: Buckets of document ids that a second reading of the texts is narrowed by.
@@ -324,17 +326,17 @@ _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _confirmed(sets: DataFrame, pairs: DataFrame, rules: Rules) -> DataFrame:
-    """Those of pairs (a, b) whose full sets (cid, members) reach the threshold. A class of many pairs is dealt over several tasks."""
+    """Those of pairs (a, b) whose full sets (cid, members) reach the threshold. Where there are many pairs, a class of many is dealt over several tasks."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             keep = [_holds(x, y, rules.percent) for x, y in zip(part["x"].to_pylist(), part["y"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([part["a"], part["b"]], schema=_LINKS).filter(pa.array(keep, pa.bool_()))
 
-    full = pairs
+    full, many = pairs, pairs.count() > EDGES
     for end, other, name in (("a", "b", "x"), ("b", "a", "y")):
         own = sets.select(F.col("cid").alias(end), F.col("members").alias(name))
-        full = spread_join(full, own, hot_keys(pairs, [end]), [end], [other])
+        full = spread_join(full, own, hot_keys(pairs, [end]), [end], [other]) if many else full.join(own, end)
     return full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -356,24 +358,25 @@ _EDGE_COLUMNS = "node long, a long, b long, rest boolean"
 
 
 class _Search:
-    """What is known so far: pairs that were tried, the sets they took, labels of connected classes (None: no link)."""
+    """What is known so far: pairs that were tried, those that hold, the sets they took, labels of connected classes (None: no link)."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, rules: Rules) -> None:
         self.docs, self.classes, self.rules = docs, classes, rules
         self.tried: DataFrame | None = None
+        self.good: DataFrame | None = None
         self.sets: DataFrame | None = None
         self.labels: DataFrame | None = None
 
     def confirm(self, pairs: DataFrame) -> None:
         """Tries those of pairs (a, b) that were not tried before, and connects what is confirmed."""
         pairs = pairs.distinct()
-        pairs = written(pairs if self.tried is None else pairs.join(self.tried.select("a", "b"), ["a", "b"], "left_anti"), "near-pairs")
+        pairs = written(pairs if self.tried is None else pairs.join(self.tried, ["a", "b"], "left_anti"), "near-pairs")
         if pairs.isEmpty():
             return
         self.fetch(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
         good = written(_confirmed(self.sets, pairs, self.rules), "near-links")
-        tried = pairs.join(good.withColumn("good", F.lit(True)), ["a", "b"], "left").select("a", "b", F.coalesce("good", F.lit(False)).alias("good"))
-        self.tried = tried if self.tried is None else self.tried.unionByName(tried)
+        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
+        self.good = good if self.good is None else self.good.unionByName(good)
         self.connect(good)
 
     def fetch(self, ids: DataFrame) -> None:
@@ -383,27 +386,13 @@ class _Search:
             self.sets = sets if self.sets is None else self.sets.unionByName(sets)
 
     def connect(self, good: DataFrame) -> None:
-        """New links join parts, of which there are few: only these are connected, then the labels follow."""
+        """Joins the parts that new links join: each label is a link itself."""
         if good.isEmpty():
             return
-        if self.labels is None:
-            self.labels = components(good)
-            return
-        ends = good.select("a", "b", F.monotonically_increasing_id().alias("k"))
-        for end in ("a", "b"):
-            own = self.labels.select(F.col("cid").alias(end), F.col("comp").alias(f"{end}_comp"))
-            ends = ends.join(own, end, "left").withColumn(f"{end}_comp", F.coalesce(f"{end}_comp", end))
-        parts = written(ends.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")).where("a <> b"), "near-parts")
-        if not parts.isEmpty():
-            found, old = components(parts), self.labels
-            moved = found.select(F.col("cid").alias("comp"), F.col("comp").alias("to"))
-            kept = spread_join(old, moved, hot_keys(old, ["comp"]), ["comp"], ["cid"], "left")
-            # A part without label of its own is a class that had no link.
-            alone = moved.join(old.select(F.col("cid").alias("comp")), "comp", "left_anti").select(F.col("comp").alias("cid"), F.col("to").alias("comp"))
-            kept = kept.select("cid", F.coalesce("to", "comp").alias("comp")).unionByName(alone)
-            self.labels = written(kept, "near-labels")
-            forget(old, found)
-        forget(parts)
+        old = self.labels
+        self.labels = components(good if old is None else good.unionByName(old.select(F.col("cid").alias("a"), F.col("comp").alias("b"))))
+        if old is not None:
+            forget(old)
 
     def forests(self, held: DataFrame) -> DataFrame:
         """Edges inside the nodes of held, each of which has few members."""
@@ -437,14 +426,21 @@ class _Search:
     def held(self, rows: DataFrame, last: bool) -> DataFrame | None:
         """The rows in nodes of several parts, with the node's size, its least and largest set, and of large nodes the first class; None if there are none."""
         nodes = written(_parts_of(rows), "near-nodes")
-        if nodes.isEmpty():
+        n = nodes.count()
+        if not n:
             forget(nodes)
             return None
         # The first class of each large node, once a node: its row brings it to all others with the node's size.
-        lead = nodes.where(F.col("size") > SMALL).join(rows.withColumnRenamed("cid", "leader"), ["node", "leader"])
+        large = nodes.where(F.col("size") > SMALL).select("node", F.col("leader").alias("cid"))
+        lead = rows.join(F.broadcast(large) if n <= FEW else large, ["node", "cid"])
         lead = lead.select("node", F.col("n").alias("leader_n"), F.col("comp").alias("leader_comp"), F.col("low").alias("leader_low"))
         nodes_with = written(nodes.join(lead, "node", "left"), "near-nodes")
-        found = spread_join(rows, nodes_with, hot_keys(nodes, ["node"], "size"), ["node"], ["cid"])
+        if n <= FEW:
+            found = rows.join(F.broadcast(nodes_with), "node")
+        else:
+            # Narrow rows are dealt out; what is held then gets its signature.
+            found = spread_join(rows.drop("low", "sig"), nodes_with, hot_keys(nodes, ["node"], "size"), ["node"], ["cid"])
+            found = found.join(self.classes.select("cid", "low", "sig"), "cid")
         # Signatures go on to children only.
         found = found.withColumn("sig", F.when(F.col("size") > SMALL, F.col("sig")))
         found = written(_cells(found) if last else found, "near-held")
@@ -483,7 +479,7 @@ class _Search:
                 members = small if members is None else members.unionByName(small)
                 rest = more if rest is None else rest.unionByName(more)
         if self.tried is not None:
-            refused = rest.join(self.tried.where("good"), ["a", "b"], "left_anti").select("node").distinct()
+            refused = rest.join(self.good, ["a", "b"], "left_anti").select("node").distinct()
             whole = written(_with_comp(members.join(refused, "node", "left_semi"), self.labels), "near-whole")
             self.search_whole(whole.join(_parts_of(whole).select("node"), "node", "left_semi"))
         return self.labels
