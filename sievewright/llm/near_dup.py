@@ -448,24 +448,30 @@ class _Search:
         return found
 
     def descend(self, rows: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
-        """Level by level: the members of small nodes, and their edges. Each level's edges are tried at once, so
-        that large groups of near copies are connected and stay out of the levels below."""
+        """Level by level: the members of small nodes, and their edges. The first level's edges are tried at once, so
+        that large groups of near copies are connected and stay out of the levels below; theirs are tried together."""
+        waiting: DataFrame | None = None
         for depth in range(DEPTH + 1):
             held = self.held(rows, depth == DEPTH)
             if held is None:
-                return
+                break
             small, large = held.where(F.col("size") <= SMALL), held.where(F.col("size") > SMALL)
             deeper = not large.isEmpty()
             edges = self.forests(small)
             edges = written(edges.unionByName(self.stars(large)) if deeper else edges, "near-edges")
-            self.confirm(edges.select("a", "b"))
             yield small, edges
+            if depth == 0:
+                self.confirm(edges.select("a", "b"))
+            else:
+                waiting = edges if waiting is None else waiting.unionByName(edges)
             if not deeper:
-                return
-            rows = _with_comp(large, self.labels)
+                break
+            rows = _with_comp(large, self.labels) if depth == 0 else large
             rows = _by_size(rows, self.rules) if depth == 0 else rows.select("node", *_ROW) if depth + 1 == DEPTH else _children(rows, self.rules)
             # What comes of one part by now is not held again.
             rows = written(rows, "near-rows")
+        if waiting is not None:
+            self.confirm(waiting.select("a", "b"))
 
     def run(self) -> DataFrame | None:
         """All trees, round after round. Where an edge of a small node's forest is refused and others were held
@@ -478,7 +484,7 @@ class _Search:
                 small, more = small.select("node", "cid", "n", "low"), edges.where("rest").select("node", "a", "b")
                 members = small if members is None else members.unionByName(small)
                 rest = more if rest is None else rest.unionByName(more)
-        if self.tried is not None:
+        if self.good is not None:
             refused = rest.join(self.good, ["a", "b"], "left_anti").select("node").distinct()
             whole = written(_with_comp(members.join(refused, "node", "left_semi"), self.labels), "near-whole")
             self.search_whole(whole.join(_parts_of(whole).select("node"), "node", "left_semi"))
