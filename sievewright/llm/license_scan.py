@@ -7,7 +7,8 @@ than the one from its first such word. Tokens are ordered by the
 number of documents they occur in, rarest first. A match must share one of the
 template's first tokens in that order (prefix filter), hold enough tokens
 (length filter) and have enough tokens left behind the first shared one
-(positional filter); what passes is counted exactly. The templates are a short
+(positional filter); what passes is counted exactly. Where the threshold alone
+can't tell two templates apart (rivals), a match also holds a token that the rival lacks. The templates are a short
 fixed list, so they travel as a literal and each text is joined where it is:
 no text is dealt out, and a hot source or passage meets no single task. Only
 DataFrame functions are used.
@@ -23,12 +24,12 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER
 
 THRESHOLD = 0.8
-#: Words of a block; words between the starts of the windows that oracle() takes of longer lines.
-WINDOW, STEP = 48, 24
+#: Words of a block.
+WINDOW = 48
 
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-# Wording of licence notices (at most STEP words each) and their labels.
+# Wording of licence notices (fewer than WINDOW words each) and their labels.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
@@ -56,6 +57,14 @@ def tokens(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())))
 
 
+def marks(label: str, templates: dict[str, str]) -> list[list[str]]:
+    """For each rival of a template (one that holds enough of its tokens to be taken for it): the tokens that the rival lacks."""
+    own = tokens(templates[label])
+    other = [set(tokens(wording)) for name, wording in templates.items() if name != label]
+    lacking = [[t for t in own if t not in x] for x in other if sum(t in x for t in own) >= _need(len(own))]
+    return [x for x in lacking if x]
+
+
 def _need(size: int) -> int:
     """The fewest of size tokens that reach the threshold."""
     return math.ceil(THRESHOLD * size - 1e-9)
@@ -92,6 +101,8 @@ def template_matches(text: Column, order: list[str], templates: dict[str, str])
         prefixes |= set(prefix)
         least = min(least, need)
         literal = (F.lit(label).alias("label"), F.array(*map(F.lit, ordered)).alias("tokens"), F.array(*map(F.lit, prefix)).alias("prefix"), F.lit(need).alias("need"))
+        rivals = [F.array(*map(F.lit, m)) for m in marks(label, templates)]
+        literal += ((F.array(*rivals) if rivals else F.array().cast("array<array<string>>")).alias("marks"),)
         rows.append(F.struct(*literal))
     index, vocabulary = F.array(*rows), F.array(*map(F.lit, order))
     rare = F.array(*map(F.lit, sorted(prefixes)))
@@ -115,7 +126,8 @@ def template_matches(text: Column, order: list[str], templates: dict[str, str])
         # The block's tokens in the global order.
         ordered = F.filter(vocabulary, lambda v: F.array_contains(block, v))
         pair = F.transform(F.array(ordered), lambda k: F.filter(index, lambda t: _may(k, F.size(block), t)))
-        exact = F.transform(pair[0], lambda t: F.struct(t["label"].alias("label"), F.size(F.array_intersect(block, t["tokens"])).alias("n"), F.size(t["tokens"]).alias("all"), t["need"].alias("need")))
+        told = F.filter(pair[0], lambda t: F.forall(t["marks"], lambda m: F.arrays_overlap(m, block)))
+        exact = F.transform(told, lambda t: F.struct(t["label"].alias("label"), F.size(F.array_intersect(block, t["tokens"])).alias("n"), F.size(t["tokens"]).alias("all"), t["need"].alias("need")))
         return F.transform(F.filter(exact, lambda t: t["n"] >= t["need"]), lambda t: F.struct(t["label"].alias("label"), (t["n"] / t["all"]).alias("held")))
 
     found = F.flatten(F.transform(F.transform(F.array(known(_words(text))), within)[0], joined))
@@ -139,6 +151,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     columns are left out.
     """
     templates = templates or TEMPLATES
+    if long := [label for label, wording in templates.items() if len(tokens(wording)) > WINDOW]:
+        raise ValueError(f"templates of more tokens than a block has words: {long}")
     order = token_order(docs, templates)
     text = F.coalesce("text", F.lit(""))
     count = lambda piece: F.regexp_count(piece, F.lit(rf"[^{_GAP}]+"))
@@ -174,26 +188,24 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle() -> str:
     """Every block of every text against every template, in DuckDB SQL."""
-    values = ", ".join(f"('{label}', {tokens(wording)!r}, {_need(len(tokens(wording)))})" for label, wording in TEMPLATES.items())
+    values = ", ".join(f"('{label}', {tokens(wording)!r}, {_need(len(tokens(wording)))}, {marks(label, TEMPLATES)!r}::VARCHAR[][])" for label, wording in TEMPLATES.items())
     gap = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
     def at(phrase: str) -> str:
         same = " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(phrase.split(), 1))
         return f"list_filter(range(len(w)), lambda i: {same})"
 
+    vocabulary = sorted({t for wording in TEMPLATES.values() for t in tokens(wording)})
     split = lambda text: f"list_filter(regexp_split_to_array(translate({text}, '{UPPER}', '{LOWER}'), '{gap}'), lambda x: x <> '')"
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 words AS (SELECT rid, doc_id, {split("t")} AS w FROM docs),
 base AS (SELECT rid, doc_id, len(w) AS n_words, {", ".join(f"{at(p)} AS p{i}" for i, p in enumerate(PHRASES))} FROM words),
-lines AS (SELECT rid, {split("line")} AS w FROM (SELECT rid, unnest(regexp_split_to_array(t, '[\\r\\n]+')) AS line FROM docs)),
-blocks AS (
-    SELECT rid, w AS b FROM lines WHERE len(w) <= {WINDOW}
-    UNION ALL
-    SELECT rid, list_slice(w, i + 1, i + {WINDOW}) FROM (SELECT rid, w, unnest(range(0, len(w), {STEP})) AS i FROM lines WHERE len(w) > {WINDOW})
-),
-templates(label, tokens, need) AS (VALUES {values}),
-held AS (SELECT rid, label, max(len(list_intersect(b, tokens)) / len(tokens)) AS held FROM blocks, templates WHERE len(list_intersect(b, tokens)) >= need GROUP BY rid, label),
+known AS (SELECT {vocabulary!r} AS k),
+starts AS (SELECT rid, w, unnest(list_filter(range(len(w)), lambda i: list_contains(k, w[i + 1]))) AS i FROM words, known),
+blocks AS (SELECT DISTINCT rid, list_intersect(list_slice(w, i + 1, i + {WINDOW}), k) AS b FROM starts, known),
+templates(label, tokens, need, marks) AS (VALUES {values}),
+held AS (SELECT rid, label, max(len(list_intersect(b, tokens)) / len(tokens)) AS held FROM blocks, templates WHERE len(list_intersect(b, tokens)) >= need AND len(list_filter(marks, lambda m: NOT list_has_any(b, m))) = 0 GROUP BY rid, label),
 found AS (SELECT rid, list(label) AS labels, max(held) AS held FROM held GROUP BY rid),
 named AS (
     SELECT base.*, list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, label in enumerate(PHRASES.values()))}], lambda x: x IS NOT NULL) AS bl, flatten([{", ".join(f"p{i}" for i in range(len(PHRASES)))}]) AS places
