@@ -104,7 +104,9 @@ def _decided(rows: DataFrame, most_rows: int) -> DataFrame:
         blocks = -(-blocks // BLOCK)
         level = level.withColumn("blocks", F.ceil(F.col("blocks") / BLOCK).cast("long"))
         entry = F.struct("key", "doc_id", "copy", "size", "p")
-        groups = level.groupBy("source", "blocks", F.pmod(F.xxhash64("key", F.lit(blocks)), F.col("blocks")).alias("block")).agg(F.sort_array(F.collect_list(entry)).alias("all"))
+        groups = level.groupBy("source", "blocks", F.pmod(F.xxhash64("key", F.lit(blocks)), F.col("blocks")).alias("block")).agg(F.sort_array(F.collect_list(F.struct("size", entry.alias("row"))), asc=False).alias("all"))
+        # Large rows meet each other first, so that what is left undecided is small more often.
+        groups = groups.withColumn("all", F.transform("all", lambda x: x["row"]))
         empty = F.struct(F.lit(None).cast(_ENTRY).alias("open"), F.array().cast(f"array<{_ENTRY}>").alias("done"))
         groups = groups.select("source", "blocks", F.aggregate("all", empty, _pair).alias("state"))
         groups = written(groups.select("source", "blocks", "state.open", "state.done"), "mix")
