@@ -82,7 +82,7 @@ def pii_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("pii_spans", f"SELECT seq, field, type, \"match\", true AS stands_there FROM ({o.FINDING_ROWS})")
 def pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every finding's place holds its text."""
-    found = _found(spark, sf_dir).select("*", F.explode("_findings").alias("f"))
+    found = _found(spark, sf_dir).select("*", F.explode_outer("_findings").alias("f")).where("f IS NOT NULL")
     own = F.when(F.col("f.field") == "instruction", F.col("instruction")).when(F.col("f.field") == "input", F.col("input")).otherwise(F.col("output"))
     ends = F.split("f.span", "-")
     there = F.substring(own, ends[0].cast("int") + 1, ends[1].cast("int") - ends[0].cast("int"))
@@ -262,17 +262,16 @@ def chat_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-@_query("load_flatten", f"SELECT row_number() OVER (ORDER BY file, d, seq) - 1 AS seq, instruction, output, task, task_category, source, consulting_category, consulting_content, file_origin FROM (SELECT concat('/', lpad((seq % 7)::VARCHAR, 2, '0'), '/', lpad((seq % 3)::VARCHAR, 2, '0'), '.json') AS file, concat(lpad((seq % 3)::VARCHAR, 2, '0'), '.json') AS file_origin, seq % 5 AS d, * EXCLUDE (file_origin) FROM ({RECORDS}))")
+@_query("load_flatten", f"SELECT row_number() OVER (ORDER BY file, d, seq) - 1 AS seq, instruction, input, output, task, task_category, source, consulting_category, consulting_content, file_origin FROM (SELECT concat('/', lpad((seq % 7)::VARCHAR, 2, '0'), '/', lpad((seq % 3)::VARCHAR, 2, '0'), '.json') AS file, concat(lpad((seq % 3)::VARCHAR, 2, '0'), '.json') AS file_origin, seq % 5 AS d, * EXCLUDE (file_origin) FROM ({RECORDS}))")
 def load_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records, written as nested JSON files of several folders and loaded again."""
     rows_ = records(spark, sf_dir).withColumn("file", F.format_string("%02d/%02d", F.col("seq") % 7, F.col("seq") % 3)).withColumn("d", F.col("seq") % 5)
-    item = F.struct("seq", "instruction", "output", "task", "task_category", "source", "consulting_category", "consulting_content")
+    item = F.struct("seq", "instruction", "input", "output", "task", "task_category", "source", "consulting_category", "consulting_content")
     files = rows_.groupBy("file", "d").agg(F.array_sort(F.collect_list(item)).alias("all"))
-    one = F.transform("all", lambda x: F.struct(x["source"].alias("source"), x["consulting_category"].alias("consulting_category"), x["consulting_content"].alias("consulting_content"), F.struct(x["task"].alias("tuning_type"), F.array(F.struct(x["instruction"].alias("instruction"), x["output"].alias("output"), x["task_category"].alias("task_category"))).alias("data")).alias("instructions")))
+    one = F.transform("all", lambda x: F.struct(x["source"].alias("source"), x["consulting_category"].alias("consulting_category"), x["consulting_content"].alias("consulting_content"), F.struct(x["task"].alias("tuning_type"), F.array(F.struct(x["instruction"].alias("instruction"), x["input"].alias("input"), x["output"].alias("output"), x["task_category"].alias("task_category"))).alias("data")).alias("instructions")))
     whole = files.select("file", "d", one.alias("docs")).groupBy("file").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("d", "docs"))), lambda x: x["docs"])).alias("docs"))
     text_ = whole.select(F.concat(F.lit("/"), "file", F.lit(".json")).alias("path"), F.to_json("docs").alias("content"))
-    loaded = nested_json.flatten(written(text_, "nested").select("path", F.try_parse_json("content").alias("j")))
-    return loaded.drop("input")
+    return nested_json.flatten(written(text_, "nested").select("path", F.try_parse_json("content").alias("j")))
 
 
 @_query("pipeline_end_to_end", f"SELECT branch, seq, instruction, input, output, task, task_category, source, consulting_category FROM ({o.ROUTED})")
