@@ -486,8 +486,8 @@ class _Search:
                 rest = more if rest is None else rest.unionByName(more)
         if self.good is not None:
             refused = rest.join(self.good, ["a", "b"], "left_anti").select("node").distinct()
-            whole = written(_with_comp(members.join(refused, "node", "left_semi"), self.labels), "near-whole")
-            self.search_whole(whole.join(_parts_of(whole).select("node"), "node", "left_semi"))
+            # Nodes of one part by now are passed over in the nodes.
+            self.search_whole(written(_with_comp(members.join(refused, "node", "left_semi"), self.labels), "near-whole"))
         return self.labels
 
 
