@@ -46,6 +46,7 @@ def prepare(records: DataFrame, settings: Settings) -> SplitResult:
 def run_split(spark: SparkSession, folder: str, split: str, settings: Settings) -> DataFrame | None:
     """One split from its folder to its files and reports; the instruction rows, or None if there are no files."""
     records, errors = nested_json.load(spark, folder)
+    log.info("[%s] %d JSON files in %s", split, len(nested_json.json_files(spark, folder)), folder)
     if records is None:
         log.warning("[%s] no JSON files in %s", split, folder)
         return None
