@@ -113,3 +113,27 @@ def test_routes(spark):
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 91), (93, 91)], "a long, b long")
     assert {r.cid: r.comp for r in graph.components(links).collect()} == {**dict.fromkeys(range(41), 0), 90: 90, 91: 90, 93: 90}
+
+
+def test_components_beyond_one_task(spark, monkeypatch):
+    """The rounds of joins, with a hub and a chain, against the single task."""
+    from sievewright.operators import graph, joins
+
+    links = [(0, k) for k in range(1, 30)] + [(100 + k, 101 + k) for k in range(12)] + [(29, 200), (300, 300)]
+    df = spark.createDataFrame(links, "a long, b long")
+    few = sorted(map(tuple, graph.components(df).collect()))
+    monkeypatch.setattr(graph, "EDGES", 5)
+    monkeypatch.setattr(joins, "MOST", 3)
+    assert sorted(map(tuple, graph.components(df).collect())) == few
+    assert dict(few)[200] == 0 and dict(few)[112] == 100 and dict(few)[300] == 300
+
+
+def test_spread_join_equals_join(spark, monkeypatch):
+    from sievewright.operators import joins
+
+    monkeypatch.setattr(joins, "MOST", 2)
+    rows = spark.createDataFrame([(k % 3, k) for k in range(40)] + [(None, 99), (7, 100)], "key long, v long")
+    other = spark.createDataFrame([(0, "a"), (1, "b"), (5, "c")], "key long, w string")
+    for how in ("inner", "left", "left_semi"):
+        got = joins.spread_join(rows, other, joins.hot_keys(rows.where("key IS NOT NULL"), ["key"]), ["key"], ["v"], how)
+        assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(other, "key", how).collect()))
