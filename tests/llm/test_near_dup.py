@@ -166,3 +166,17 @@ def test_a_large_group_makes_rows_in_proportion(spark, tmp_path, monkeypatch):
     rows = [(i, " ".join([*base[: i % 290], f"n{i}", *base[i % 290 + 1 :]])) for i in range(400)]
     assert run(spark, tmp_path, rows) == brute(rows)
     assert seen[0] <= 2 * 400 and sum(seen[1:]) <= 4 * 400
+
+
+def test_many_nodes_and_hot_keys(spark, tmp_path, monkeypatch):
+    """The ways for more nodes than may be broadcast, and for many pairs, give the same."""
+    from sievewright.operators import joins
+
+    monkeypatch.setattr(near_dup, "FEW", 0)
+    monkeypatch.setattr(near_dup, "EDGES", 0)
+    monkeypatch.setattr(near_dup, "SMALL", 8)
+    monkeypatch.setattr(joins, "MOST", 4)
+    rows = corpus(9, 60)
+    base = [f"t{i}" for i in range(200)]
+    rows += [(1000 + i, " ".join([*base[:i], f"n{i}", *base[i + 1 :]])) for i in range(30)]
+    assert run(spark, tmp_path, rows) == brute(rows)
