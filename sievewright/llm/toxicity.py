@@ -5,7 +5,7 @@ its ends) and of the whole word, all in one hashed table; a text's vector is the
 mean over its words (repeats count by their logarithm), scaled by the root of
 their number (a plain mean loses a few words in a long text); two linear outputs and a softmax follow. Misspelt and
 unseen words share n-gram vectors with those seen. Table and outputs are fitted
-together on the driver from a bounded sample of labelled rows. As everything up to the
+together by one task from a bounded sample of labelled rows. As everything up to the
 softmax is linear, scoring needs one number a table row, so the broadcast model
 is of fixed size, and a text is scored in one pass over all its words.
 """
@@ -208,21 +208,30 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits labels (doc_id, toxic) over docs, outside the held-out fold.
 
     A document with several labels counts as toxic if one of them says so; null
-    labels and labels without document are left out. Up to SAMPLE_ROWS documents
-    of each label are fitted, chosen by a hash of the id.
+    labels and labels without document are left out. About SAMPLE_ROWS documents
+    of each label are fitted at most, chosen by a hash of the id, by one task: the driver
+    gets the model alone, of fixed size, and no texts.
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("_toxic"))
     n = {r[0]: r[1] for r in known.groupBy("_toxic").count().collect()}
     chance = F.xxhash64("_id").bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30)
     limit = F.when(F.col("_toxic") == 1, min(1.0, SAMPLE_ROWS / max(1, n.get(1, 0)))).otherwise(min(1.0, SAMPLE_ROWS / max(1, n.get(0, 0))))
     chosen = F.broadcast(known.where(chance < limit))  # about 2 * SAMPLE_ROWS rows of two numbers
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(chosen, "_id").select("_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), "_toxic").toArrow()
-    order = np.argsort(rows["_id"].to_numpy(), kind="stable")
-    texts, y = rows["text"].to_pylist(), rows["_toxic"].to_numpy()
     everything = max(1, sum(n.values()))
-    return fit([texts[i] for i in order], y[order], (n.get(0, 0) / everything, n.get(1, 0) / everything))
+    shares = (n.get(0, 0) / everything, n.get(1, 0) / everything)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for part in parts for row in zip(part["_id"].to_pylist(), blobs(part["text"]), part["_toxic"].to_pylist(), strict=True)]
+        rows.sort()
+        model = fit([text for _, text, _ in rows], np.array([toxic for _, _, toxic in rows], np.int64), shares)
+        yield from batches(iter([(model.weight.tobytes(), model.bias)]), _MODEL)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(chosen, "_id").select("_id", "text", "_toxic")
+    found = rows.repartition(1).mapInArrow(run, "weight binary, bias double").collect()
+    return Model(np.frombuffer(found[0]["weight"], np.float32), found[0]["bias"]) if found else fit([], np.array([], np.int64), shares)
 
 
+_MODEL = pa.schema([("weight", pa.binary()), ("bias", pa.float64())])
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
 
