@@ -434,7 +434,7 @@ class _Search:
         large = nodes.where(F.col("size") > SMALL).select("node", F.col("leader").alias("cid"))
         lead = rows.join(F.broadcast(large) if n <= FEW else large, ["node", "cid"])
         lead = lead.select("node", F.col("n").alias("leader_n"), F.col("comp").alias("leader_comp"), F.col("low").alias("leader_low"))
-        nodes_with = written(nodes.join(lead, "node", "left"), "near-nodes")
+        nodes_with = written(nodes.join(F.broadcast(lead) if n <= FEW else lead, "node", "left"), "near-nodes")
         if n <= FEW:
             found = rows.join(F.broadcast(nodes_with), "node")
         else:
@@ -448,30 +448,35 @@ class _Search:
         return found
 
     def descend(self, rows: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
-        """Level by level: the members of small nodes, and their edges. The first level's edges are tried at once, so
-        that large groups of near copies are connected and stay out of the levels below; theirs are tried together."""
-        waiting: DataFrame | None = None
+        """The members of small nodes, and their edges: of the first level, then of all below. The first level's edges
+        are tried at once, so that large groups of near copies are connected and stay out of the levels below; as
+        theirs are tried together, they are looked for together, too."""
+        below: DataFrame | None = None
         for depth in range(DEPTH + 1):
             held = self.held(rows, depth == DEPTH)
             if held is None:
                 break
-            small, large = held.where(F.col("size") <= SMALL), held.where(F.col("size") > SMALL)
+            large = held.where(F.col("size") > SMALL)
             deeper = not large.isEmpty()
-            edges = self.forests(small)
-            edges = written(edges.unionByName(self.stars(large)) if deeper else edges, "near-edges")
-            yield small, edges
             if depth == 0:
-                self.confirm(edges.select("a", "b"))
+                yield self.looked_over(held)
             else:
-                waiting = edges if waiting is None else waiting.unionByName(edges)
+                below = held if below is None else below.unionByName(held)
             if not deeper:
                 break
             rows = _with_comp(large, self.labels) if depth == 0 else large
             rows = _by_size(rows, self.rules) if depth == 0 else rows.select("node", *_ROW) if depth + 1 == DEPTH else _children(rows, self.rules)
             # What comes of one part by now is not held again.
             rows = written(rows, "near-rows")
-        if waiting is not None:
-            self.confirm(waiting.select("a", "b"))
+        if below is not None:
+            yield self.looked_over(below)
+
+    def looked_over(self, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The members of held's small nodes, and the edges of all its nodes, which are tried."""
+        small, large = held.where(F.col("size") <= SMALL), held.where(F.col("size") > SMALL)
+        edges = written(self.forests(small).unionByName(self.stars(large)), "near-edges")
+        self.confirm(edges.select("a", "b"))
+        return small, edges
 
     def run(self) -> DataFrame | None:
         """All trees, round after round. Where an edge of a small node's forest is refused and others were held
@@ -485,12 +490,18 @@ class _Search:
                 members = small if members is None else members.unionByName(small)
                 rest = more if rest is None else rest.unionByName(more)
         if self.good is not None:
-            refused = rest.join(self.good, ["a", "b"], "left_anti").select("node").distinct()
+            # The optimizer makes a join of every table below a union: small sides are broadcast, so that none is dealt out.
+            refused = written(rest.join(_few(self.good), ["a", "b"], "left_anti").select("node").distinct(), "near-refused")
             # Nodes of one part by now are passed over in the nodes.
-            self.search_whole(written(_with_comp(members.join(refused, "node", "left_semi"), self.labels), "near-whole"))
+            self.search_whole(written(_with_comp(members.join(_few(refused), "node", "left_semi"), self.labels), "near-whole"))
         return self.labels
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """rows, to be broadcast if there are FEW of them at most: their columns are two numbers at most."""
+    return F.broadcast(rows) if rows.count() <= FEW else rows
+
+
 def _cells(held: DataFrame) -> DataFrame:
     """What is left of large nodes, as cells of two blocks each, so that every pair of a node meets in one cell."""
     blocks = F.ceil(F.col("size") / CELL).cast("long")
