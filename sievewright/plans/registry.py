@@ -17,6 +17,8 @@ from .records import RECORDS, chat_pairs, records
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+#: Documents of a nested file that load_flatten writes into one part.
+DOCUMENTS = 16
 
 
 def _query(name: str, sql: str | None = None):
@@ -264,14 +266,17 @@ def chat_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("load_flatten", f"SELECT row_number() OVER (ORDER BY file, d, seq) - 1 AS seq, instruction, input, output, task, task_category, source, consulting_category, consulting_content, file_origin FROM (SELECT concat('/', lpad((seq % 7)::VARCHAR, 2, '0'), '/', lpad((seq % 3)::VARCHAR, 2, '0'), '.json') AS file, concat(lpad((seq % 3)::VARCHAR, 2, '0'), '.json') AS file_origin, seq % 5 AS d, * EXCLUDE (file_origin) FROM ({RECORDS}))")
 def load_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records, written as nested JSON files of several folders and loaded again."""
+    """All records, written as nested JSON files of several folders and loaded again. A file grows with the input, so it is written in parts of some DOCUMENTS."""
+    step = 7 * 3 * 5  # the numbers of a file's documents of one d are as far apart
     rows_ = records(spark, sf_dir).withColumn("file", F.format_string("%02d/%02d", F.col("seq") % 7, F.col("seq") % 3)).withColumn("d", F.col("seq") % 5)
     item = F.struct("seq", "instruction", "input", "output", "task", "task_category", "source", "consulting_category", "consulting_content")
-    files = rows_.groupBy("file", "d").agg(F.array_sort(F.collect_list(item)).alias("all"))
+    part = F.struct("d", F.floor(F.col("seq") / (step * DOCUMENTS)).alias("block"))
+    files = rows_.groupBy("file", part.alias("part")).agg(F.array_sort(F.collect_list(item)).alias("all"))
     one = F.transform("all", lambda x: F.struct(x["source"].alias("source"), x["consulting_category"].alias("consulting_category"), x["consulting_content"].alias("consulting_content"), F.struct(x["task"].alias("tuning_type"), F.array(F.struct(x["instruction"].alias("instruction"), x["input"].alias("input"), x["output"].alias("output"), x["task_category"].alias("task_category"))).alias("data")).alias("instructions")))
-    whole = files.select("file", "d", one.alias("docs")).groupBy("file").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("d", "docs"))), lambda x: x["docs"])).alias("docs"))
-    text_ = whole.select(F.concat(F.lit("/"), "file", F.lit(".json")).alias("path"), F.to_json("docs").alias("content"))
-    return nested_json.flatten(written(text_, "nested").select("path", F.try_parse_json("content").alias("j")))
+    text_ = files.select(F.concat(F.lit("/"), "file", F.lit(".json")).alias("path"), "part", F.to_json(one).alias("content"))
+    # Readers hold a batch of rows, at most a row group: small ones, as a row is a long text.
+    nested = written(text_, "nested", **{"parquet.block.size": str(8 << 20)})
+    return nested_json.flatten(nested.select("path", "part", F.parse_json("content").alias("j")))
 
 
 @_query("pipeline_end_to_end", f"SELECT branch, seq, instruction, input, output, task, task_category, source, consulting_category FROM ({o.ROUTED})")

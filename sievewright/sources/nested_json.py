@@ -63,29 +63,34 @@ def load_errors(files: DataFrame) -> DataFrame:
     return files.where("j is null").select("path")
 
 
-#: A JSON object as a list of one, a list as it is.
-_LISTED = "CASE WHEN schema_of_variant({0}) LIKE 'OBJECT%' THEN parse_json(concat('[', to_json({0}), ']')) WHEN schema_of_variant({0}) LIKE 'ARRAY%' THEN {0} END"
+#: A JSON object as a list of one, a list as it is; anything else is null.
+_LISTED = "coalesce(try_variant_get({0}, '$', 'array<variant>'), CASE WHEN try_variant_get({0}, '$', 'map<string,variant>') IS NOT NULL THEN array({0}) END)"
 
 
 def flatten(files: DataFrame) -> DataFrame:
-    """Records of all files in order: file, document, group, item. An item's task is its own, if the key is there at all, else its group's."""
+    """Records of all files in order: file, document, group, item. An item's task is its own, if the key is there at all, else its group's.
+
+    files: path and j; with a column part, the documents of a file may stand in several rows, in its order, so that
+    no row holds a large file.
+    """
     text = lambda path: f"coalesce({path}::string, '')"
+    files = files if "part" in files.columns else files.withColumn("part", F.lit(0))
     rows = files.sparkSession.sql(
         f"""
-        SELECT path, d.pos AS d, g.pos AS g, i.pos AS i,
+        SELECT path, part, d.pos AS d, g.pos AS g, i.pos AS i,
             {text("i.value:instruction")} AS instruction, {text("i.value:input")} AS input, {text("i.value:output")} AS output,
             CASE WHEN variant_get(i.value, '$.task') IS NULL THEN {text("g.value:tuning_type")} ELSE {text("i.value:task")} END AS task,
             {text("i.value:task_category")} AS task_category, {text("d.value:source")} AS source,
             {text("d.value:consulting_category")} AS consulting_category, {text("d.value:consulting_content")} AS consulting_content,
             element_at(split(path, '/'), -1) AS file_origin
-        FROM (SELECT path, {_LISTED.format("j")} AS docs FROM {{files}} WHERE j IS NOT NULL),
-            LATERAL variant_explode(docs) AS d,
-            LATERAL variant_explode({_LISTED.format("d.value:instructions")}) AS g,
-            LATERAL variant_explode({_LISTED.format("g.value:data")}) AS i
+        FROM {{files}},
+            LATERAL posexplode({_LISTED.format("j")}) AS d(pos, value),
+            LATERAL posexplode({_LISTED.format("d.value:instructions")}) AS g(pos, value),
+            LATERAL posexplode({_LISTED.format("g.value:data")}) AS i(pos, value)
         """,
         files=files,
     )
-    placed = numbered(rows, ["path", "d", "g", "i"], "seq")
+    placed = numbered(rows, ["path", "part", "d", "g", "i"], "seq")
     return placed.select("seq", *(c.split()[0] for c in SCHEMA.split(", ")[1:]))
 
 

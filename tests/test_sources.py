@@ -3,7 +3,7 @@ import json
 import pytest
 
 from sievewright.operators import rows
-from sievewright.plans import pipeline
+from sievewright.plans import pipeline, registry
 from sievewright.sources import files, nested_json
 
 
@@ -40,6 +40,24 @@ def test_shapes_and_order(spark, tmp_path):
     assert sorted(r.path.rsplit("/", 1)[1] for r in errors.collect()) == ["bad.json", "bytes.json"]
 
 
+def test_parts_of_a_file(spark):
+    """A file's documents in several rows, in the order of part."""
+    document = lambda *xs: json.dumps([{"source": "s", "instructions": {"tuning_type": "요약", "data": {**ITEM, "output": x}}} for x in xs])
+    rows_ = [("/b.json", 0, document("e")), ("/a.json", 1, document("c", "d")), ("/a.json", 0, document("a", "b"))]
+    files_ = spark.createDataFrame(rows_, "path string, part int, content string").selectExpr("path", "part", "parse_json(content) AS j")
+    got = nested_json.flatten(files_).orderBy("seq").collect()
+    assert [(r.seq, r.file_origin, r.output) for r in got] == [(0, "a.json", "a"), (1, "a.json", "b"), (2, "a.json", "c"), (3, "a.json", "d"), (4, "b.json", "e")]
+
+
+def test_no_row_holds_a_file(spark, monkeypatch):
+    """load_flatten's files grow with the input, their rows do not."""
+    seen, written = [], registry.written
+    monkeypatch.setattr(registry, "written", lambda df, *a, **b: seen.append(written(df, *a, **b)) or seen[-1])
+    assert registry.QUERIES["load_flatten"](spark, "/root/testdata/sf0.01").count() == 1200
+    sizes = seen[0].selectExpr("json_array_length(content) AS n").groupBy().agg({"n": "max"}).first()[0]
+    assert sizes <= 16
+
+
 def test_no_files(spark, tmp_path):
     loaded, errors = nested_json.load(spark, str(tmp_path / "missing"))
     assert loaded is None and errors.count() == 0
