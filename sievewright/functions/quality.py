@@ -6,23 +6,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import Quality
-from .text import strip, word_count
+from .text import bound, has_words, strip, stripped
 
 
 def repetition(x: Column) -> Column:
     """The share of the commonest sentence among a text's sentences; 0 for none or one.
 
-    Sorted, equal sentences stand together, so one pass counts the longest run.
+    Where all differ, the commonest stands once. Else they are sorted: equal sentences stand together, so one pass counts the longest run.
     """
-    cut = F.filter(F.transform(F.split(x, r"[.!?\n]"), strip), lambda s: s != "")
 
     def step(state: Column, s: Column) -> Column:
         run = F.when(state["last"] == s, state["run"] + 1).otherwise(1)
         return F.struct(s.alias("last"), run.alias("run"), F.greatest(state["best"], run).alias("best"))
 
-    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
-    best = F.aggregate(F.array_sort(cut), start, step, lambda s: s["best"])
-    return F.when(F.size(cut) > 1, best / F.size(cut)).otherwise(0.0)
+    def share(cut: Column) -> Column:
+        start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+        best = F.aggregate(F.array_sort(cut), start, step, lambda s: s["best"])
+        most = F.when(F.size(F.array_distinct(cut)) == F.size(cut), 1).otherwise(best)
+        return F.when(F.size(cut) > 1, most / F.size(cut)).otherwise(0.0)
+
+    return bound(F.filter(F.transform(F.split(x, r"[.!?\n]"), stripped), lambda s: s != ""), share)
 
 
 def drop_reason(rules: Quality, instruction: str = "instruction", input_: str = "input", output: str = "output", task: str = "task") -> Column:
@@ -40,7 +43,7 @@ def drop_reason(rules: Quality, instruction: str = "instruction", input_: str =
         (F.length(c) < F.when(short, rules.short_min_output).otherwise(rules.min_output), named("output_too_short")),
         (F.length(b) > rules.max_input, F.lit("input_too_long")),
         (F.length(c) > rules.max_output, F.lit("output_too_long")),
-        (word_count(c) < F.when(short, rules.short_min_output_words).otherwise(rules.min_output_words), named("output_too_few_words")),
+        (~F.when(short, has_words(c, rules.short_min_output_words)).otherwise(has_words(c, rules.min_output_words)), named("output_too_few_words")),
     ]
     if rules.drop_input_equals_output:
         checks.append((strip(b) == strip(c), F.lit("input_equals_output")))

@@ -2,14 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import Cleaning
 
 
+def bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f of x, which is derived once however often f reads it."""
+    return F.transform(F.array(x), f)[0]
+
+
+def _solid(char: Column) -> Column:
+    """Whether a character lies outside of all ranges that hold blanks."""
+    c = F.ascii(char)
+    return c.between(0x21, 0x84) | c.between(0xA1, 0x167F) | (c > 0x3000)
+
+
+def stripped(x: Column) -> Column:
+    """strip() of a lambda's variable: the pattern sees only texts with blanks at an end."""
+    ends = _solid(F.substring(x, 1, 1)) & _solid(F.substring(x, -1, 1))
+    return F.when(ends, x).otherwise(F.regexp_replace(x, r"(?U)\A\s+|\s+\z", ""))
+
+
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, r"(?U)\A\s+|\s+\z", "")
+    return bound(x, stripped)
 
 
 def words(x: Column) -> Column:
@@ -20,6 +41,11 @@ def word_count(x: Column) -> Column:
     return F.size(words(x))
 
 
+def has_words(x: Column, least: int) -> Column:
+    """Whether word_count() is at least that; no text is read beyond."""
+    return x.rlike(rf"(?U)\A\s*+(?:\S++\s++){{{least - 1}}}\S") if least > 0 else F.lit(True)
+
+
 def nfc(x: Column) -> Column:
     """Canonical composition, by the ICU library that Spark brings along."""
     composed = F.call_function("reflect", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), x, F.lit(False))
@@ -32,7 +58,7 @@ def drop_control(x: Column) -> Column:
 
 
 def drop_tags(x: Column) -> Column:
-    return F.regexp_replace(x, r"<[^>]+>", " ")
+    return bound(x, lambda t: F.when(F.contains(t, F.lit("<")), F.regexp_replace(t, r"<[^>]+>", " ")).otherwise(t))
 
 
 def drop_courtesies(x: Column, patterns: tuple[str, ...]) -> Column:
@@ -41,13 +67,32 @@ def drop_courtesies(x: Column, patterns: tuple[str, ...]) -> Column:
     return x
 
 
+#: Without any of these, runs of blanks are single spaces.
+_ODD = ("  ", *"\t\r\x0b\x0c")
+_WIDE_ODD = tuple("\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") + tuple(map(chr, range(0x2000, 0x200B)))
+
+
+def _any_of(x: Column, signs: tuple[str, ...]) -> Column:
+    return reduce(or_, (F.contains(x, F.lit(sign)) for sign in signs))
+
+
 def squeeze_blanks(x: Column) -> Column:
-    """Runs of blanks but newlines become one space, none stays beside a newline."""
-    return F.regexp_replace(F.regexp_replace(x, r"(?U)[^\S\n]+", " "), r" *\n *", "\n")
+    """Runs of blanks but newlines become one space, none stays beside a newline. A plain search finds the texts to which that applies."""
+
+    def runs(t: Column) -> Column:
+        odd = _any_of(t, _ODD) | ((F.octet_length(t) != F.length(t)) & _any_of(t, _WIDE_ODD))
+        return F.when(odd, F.regexp_replace(t, r"(?U)[^\S\n]+", " ")).otherwise(t)
+
+    def beside(t: Column) -> Column:
+        return F.when(_any_of(t, (" \n", "\n ")), F.regexp_replace(t, r" *\n *", "\n")).otherwise(t)
+
+    return bound(bound(x, runs), beside)
 
 
 def squeeze_newlines(x: Column, most: int) -> Column:
-    return F.regexp_replace(x, rf"\n{{{most + 1},}}", "\n" * most) if most > 0 else x
+    if most <= 0:
+        return x
+    return bound(x, lambda t: F.when(F.contains(t, F.lit("\n" * (most + 1))), F.regexp_replace(t, rf"\n{{{most + 1},}}", "\n" * most)).otherwise(t))
 
 
 def drop_numbering(x: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,12 +57,12 @@ def candidates(banded: DataFrame) -> DataFrame:
 
 
 def verified(records: DataFrame, pairs: DataFrame, rules: Dedup) -> DataFrame:
-    """Those of pairs whose n-gram sets reach the threshold, with their Jaccard similarity."""
-    grams = records.select("seq", similarity.ngrams(key(rules.key), rules.ngram).alias("grams"))
+    """Those of pairs whose n-gram sets reach the threshold, with their Jaccard similarity. Sets are made of records in pairs only."""
     ends = pairs.select(F.explode(F.array("i", "j")).alias("seq")).distinct()
-    grams = grams.join(ends, "seq", "left_semi")
+    own = records.select("seq", key(rules.key).alias("key")).join(ends, "seq", "left_semi")
+    grams = written(own.select("seq", similarity.gram_set(F.col("key"), rules.ngram).alias("grams")), "gram-sets", **{"parquet.block.size": str(16 << 20)})
     a, b = grams.toDF("i", "a"), grams.toDF("j", "b")
-    return pairs.join(a, "i").join(b, "j").withColumn("jaccard", similarity.jaccard(F.col("a"), F.col("b"))).drop("a", "b").where(F.col("jaccard") >= rules.threshold)
+    return pairs.join(a, "i").join(b, "j").withColumn("jaccard", similarity.set_jaccard(F.col("a"), F.col("b"))).drop("a", "b").where(F.col("jaccard") >= rules.threshold)
 
 
 def removed(edges: DataFrame) -> DataFrame:
@@ -69,14 +71,21 @@ def removed(edges: DataFrame) -> DataFrame:
     links = edges.select(F.col("i").alias("a"), F.col("j").alias("b"))
     owned = edges.join(components(links).withColumnRenamed("cid", "i"), "i")
 
-    def visit(group: pd.DataFrame) -> pd.DataFrame:
-        gone: set[int] = set()
-        for i, j in group.sort_values(["first", "band", "i", "j"])[["i", "j"]].itertuples(index=False):
-            if i not in gone and j not in gone:
-                gone.add(j)
-        return pd.DataFrame({"seq": sorted(gone)}, dtype="int64")
+    def visit(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, gone = None, set()
+        for part in parts:
+            out = []
+            for comp, i, j in zip(*(part[c].to_pylist() for c in ("comp", "i", "j")), strict=True):
+                if comp != at:
+                    at, gone = comp, set()
+                if i not in gone and j not in gone:
+                    gone.add(j)
+                    out.append(j)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["seq"])
 
-    return owned.select("comp", "i", "j", "first", "band").groupBy("comp").applyInPandas(visit, "seq long")
+    # Most components have a few edges, so a task passes through many of them, one after the other.
+    dealt = owned.select("comp", "first", "band", "i", "j").repartition("comp").sortWithinPartitions("comp", "first", "band", "i", "j")
+    return dealt.select("comp", "i", "j").mapInArrow(visit, "seq long")
 
 
 def near(records: DataFrame, rules: Dedup) -> DataFrame:
@@ -86,10 +95,12 @@ def near(records: DataFrame, rules: Dedup) -> DataFrame:
     all: it alone can stay, and only it is paired. Of the rest all pairs of
     a bucket are compared, as the visiting order asks for.
     """
-    signed = written(records.select("seq", similarity.minhash(key(rules.key), rules.ngram, rules.permutations).alias("signature"), F.sha2(F.array_join(F.array_sort(similarity.ngrams(key(rules.key), rules.ngram)), "\x00"), 256).alias("_set")), "signed")
+    sketched = records.select("seq", similarity.sketch(key(rules.key), rules.ngram, rules.permutations).alias("_s"))
+    signed = written(sketched.select("seq", "_s.signature", F.col("_s.set").alias("_set")), "signed")
     lead = signed.groupBy("_set").agg(F.min("seq").alias("seq"))
     firsts = signed.join(lead, ["_set", "seq"], "left_semi").select("seq", "signature")
-    edges = written(verified(records, candidates(band_rows(firsts, rules)), rules), "near-edges")
+    pairs = written(candidates(band_rows(firsts, rules)), "near-pairs")
+    edges = written(verified(records, pairs, rules), "near-edges")
     kept = firsts.select("seq")
     if not edges.isEmpty():
         kept = kept.join(removed(edges), "seq", "left_anti")

@@ -202,7 +202,9 @@ def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _exact_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written(dedup.exact(_split(spark, sf_dir)[0], "instruction_output"), "exact")
+    # Written before it is joined with itself, so texts are cleaned and judged once.
+    kept = written(_split(spark, sf_dir)[0].select("seq", "instruction", "output"), "survivors")
+    return written(dedup.exact(kept, "instruction_output"), "exact")
 
 
 @_query("minhash_signature", f"SELECT seq, p, v FROM ({o.signature_rows(o.EXACT_NORMAL)})")
@@ -217,7 +219,7 @@ def lsh_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows_ = _exact_normal(spark, sf_dir)
-    return rows_, dedup.candidates(dedup.band_rows(written(dedup.signatures(rows_, Dedup()), "signed"), Dedup()))
+    return rows_, written(dedup.candidates(dedup.band_rows(written(dedup.signatures(rows_, Dedup()), "signed"), Dedup())), "near-pairs")
 
 
 @_query("lsh_candidates", f"WITH RECURSIVE {o.NEAR} SELECT i, j, place.first AS first, place.band AS band FROM cand")
@@ -238,7 +240,8 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("dedup_routed", f"SELECT branch, seq FROM ({o.ROUTED})")
 def dedup_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.routed(written(filter_survivors(spark, sf_dir), "survivors")).select(F.col("_branch").alias("branch"), "seq")
+    kept = filter_survivors(spark, sf_dir).select("seq", "instruction", "input", "output", "task")
+    return dedup.routed(written(kept, "survivors")).select(F.col("_branch").alias("branch"), "seq")
 
 
 @_query("alpaca_rows", f"SELECT seq, instruction, input, output, task, task_category, source, consulting_category FROM ({o.SURVIVORS})")

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,27 @@ def test_ngrams(spark, text, want):
     assert set(spark.range(1).select(similarity.ngrams(F.lit(text), 5).alias("g")).first().g) == want
 
 
+def test_long_texts_are_cut_once(spark):
+    """Words derived anew for every n-gram took minutes here."""
+    text = " ".join(f"w{i}" for i in range(30_000))
+    df = spark.createDataFrame([(text,)], "x string")
+    began = time.monotonic()
+    assert df.select(F.size(similarity.ngrams(F.col("x"), 5)).alias("n")).first().n == 29_996
+    assert time.monotonic() - began < 15
+
+
+def test_sketch_and_sets(spark):
+    """Sets by digest give the similarity of the sets themselves; equal sets, and these alone, share their mark."""
+    texts = ["a b c d e f g h", "b c d e f g h i j", "a b c d e a b c d e", "e a b c d e a b c d e a b c d", "short", " short", "", "x y z v w " * 30]
+    df = spark.createDataFrame(enumerate(texts), "k int, x string")
+    rows = df.select("k", "x", similarity.ngrams(F.col("x"), 5).alias("g"), similarity.minhash(F.col("x"), 5, 32).alias("m"), similarity.sketch(F.col("x"), 5, 32).alias("s"), similarity.gram_set(F.col("x"), 5).alias("d"))
+    for r in rows.collect():
+        assert list(r.s.signature) == list(r.m) and len(r.d) == 16 * len(r.g)
+    a, b = rows.select("k", "g", "d", "s").toDF("i", "ga", "da", "sa"), rows.select("k", "g", "d", "s").toDF("j", "gb", "db", "sb")
+    for r in a.crossJoin(b).select("ga", "gb", F.expr("sa.set = sb.set").alias("same"), similarity.set_jaccard(F.col("da"), F.col("db")).alias("got"), similarity.jaccard(F.col("ga"), F.col("gb")).alias("want")).collect():
+        assert r.got == r.want and r.same == (set(r.ga) == set(r.gb))
+
+
 def test_jaccard_and_bands(spark):
     arr = lambda *x: F.array(*map(F.lit, x))
     got = spark.range(1).select(similarity.jaccard(arr("x", "y"), arr("y", "z")).alias("a"), similarity.jaccard(F.array().cast("array<string>"), arr("x")).alias("b")).first()
@@ -56,6 +78,16 @@ def test_visiting_order(spark):
     assert seqs(dedup.removed(edges)) == [5, 7]
 
 
+def test_many_components_are_visited_fast(spark):
+    """A task that starts a group anew for every component took a millisecond or more for each."""
+    pairs = spark.range(60_000).select((F.col("id") * 3).alias("i"), (F.col("id") * 3 + 1).alias("j"), (F.col("id") * 3).alias("first"), F.lit(0).alias("band"))
+    more = pairs.select(F.col("j").alias("i"), (F.col("j") + 1).alias("j"), "first", F.lit(1).alias("band"))
+    began = time.monotonic()
+    got = dedup.removed(pairs.unionByName(more).coalesce(2)).agg(F.count("seq").alias("n"), F.sum(F.col("seq") % 3).alias("s")).first()
+    assert (got.n, got.s) == (60_000, 60_000)
+    assert time.monotonic() - began < 40
+
+
 def slow_near(rows, rules):
     """Buckets in the order in which records make them; every pair in turn."""
     text = {seq: f"{a} ||| {c}" for seq, a, _, c, _ in rows}

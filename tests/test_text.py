@@ -55,3 +55,21 @@ def test_unicode_steps_equal_pythons(spark, texts):
 @pytest.mark.parametrize("most, given_, want", [(2, "a\n\n\nb", "a\n\nb"), (1, "a\n\nb", "a\nb"), (0, "a\n\n\n\nb", "a\n\n\n\nb")])
 def test_newlines(spark, most, given_, want):
     assert values(spark, lambda x: text.squeeze_newlines(x, most), [given_]) == [want]
+
+
+def test_searches_before_patterns_change_nothing(spark):
+    """Every blank and many others, at an end, inside and beside newlines, against the bare patterns."""
+    from sievewright.functions import quality
+
+    chars = [chr(c) for c in (*range(1, 0x180), 0x1680, 0x180E, *range(0x1FF0, 0x2070), 0x3000, 0xAC00, 0x1F600)]
+    texts = [t for c in chars for t in (c, c + "a b", "a b" + c, f"a{c}b", f"a {c}b\n {c}c.{c}c", f"a\n{c}b\n\n\n\nd < {c}e> f")] + ["", "a b c d e", "x " * 500]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    x = F.col("x")
+    blanks = F.regexp_replace(F.regexp_replace(x, r"(?U)[^\S\n]+", " "), r" *\n *", "\n")
+    pairs = [(text.strip(x), F.regexp_replace(x, r"(?U)\A\s+|\s+\z", "")), (text.squeeze_blanks(x), blanks), (text.squeeze_newlines(x, 2), F.regexp_replace(x, r"\n{3,}", "\n\n")), (text.drop_tags(x), F.regexp_replace(x, r"<[^>]+>", " "))]
+    pairs += [(text.has_words(x, k), text.word_count(x) >= k) for k in range(5)]
+    cut = F.filter(F.transform(F.split(x, r"[.!?\n]"), lambda s: F.regexp_replace(s, r"(?U)\A\s+|\s+\z", "")), lambda s: s != "")
+    once = F.array_max(F.transform(cut, lambda s: F.size(F.filter(cut, lambda t: t == s)))) / F.size(cut)
+    pairs.append((quality.repetition(x), F.when(F.size(cut) > 1, once).otherwise(0.0)))
+    for k, (got, want) in enumerate(pairs):
+        assert df.where(~got.eqNullSafe(want)).count() == 0, k
