@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import PersonalData
+from .text import bound
 
 # The patterns by type, in the order of detection. (?U): digits and blanks are Unicode's.
 PATTERNS = {
@@ -23,6 +24,8 @@ PATTERNS = {
 GROUPS = {"mask_leak_name": 1}
 #: Characters of which every match holds one: texts without them are passed over at the cost of a plain search.
 SIGNS = {"mask_leak_name": "▲", "email": "@", "address_detail": "시군구"}
+#: Types whose every match holds three digits in a row: one search rules all of them out.
+DIGITS = ("phone", "rrn", "account")
 FINDING = "struct<type:string,match:string,span:string>"
 
 
@@ -58,7 +61,11 @@ def findings_of(x: Column, kind: str) -> Column:
 def findings(x: Column, rules: PersonalData) -> Column:
     """All findings of a text, type after type; types may overlap. Null and empty texts have none."""
     kinds = [kind for kind in PATTERNS if getattr(rules, kind)]
-    return F.concat(*(findings_of(x, kind) for kind in kinds)) if kinds else _none()
+
+    def of(digits: Column) -> Column:
+        return F.concat(*(F.when(digits, findings_of(x, kind)).otherwise(_none()) if kind in DIGITS else findings_of(x, kind) for kind in kinds))
+
+    return bound(x.rlike(r"(?U)\d{3}"), of) if kinds else _none()
 
 
 def masked(x: Column, found: Column, token: str) -> Column:

@@ -37,9 +37,14 @@ class SplitResult:
 
 
 def prepare(records: DataFrame, settings: Settings) -> SplitResult:
-    """clean, personal data, filter, de-duplicate. Cleaned and judged records are written tables, as several plans read them."""
-    found = written(personal_data.with_findings(cleaning.clean_records(records, settings.cleaning), settings.personal_data), "found")
-    judged = written(filtering.with_reason(personal_data.act(found, settings.personal_data), settings.quality), "judged")
+    """clean, personal data, filter, de-duplicate. Cleaned and judged records are written, as several plans read them: as one table, unless masking changes the texts that are judged."""
+    found = personal_data.with_findings(cleaning.clean_records(records, settings.cleaning), settings.personal_data)
+    if settings.personal_data.action == "mask":
+        found = written(found, "found")
+        judged = written(filtering.with_reason(personal_data.act(found, settings.personal_data), settings.quality), "judged")
+    else:
+        both = written(filtering.with_reason(found, settings.quality), "judged")
+        found, judged = both.drop("drop_reason"), personal_data.act(both, settings.personal_data)
     return SplitResult(dedup.routed(filtering.survivors(judged), settings.dedup), judged, found)
 
 

@@ -68,3 +68,13 @@ def test_types_can_be_left_out_and_actions_are_checked(spark):
     assert run(spark, ["a@b.co"], none)[0].f == []
     with pytest.raises(ValueError, match="action"):
         PersonalData(action="shred")
+
+
+def test_search_for_digits_rules_nothing_out(spark):
+    from sievewright.functions import pii as patterns
+
+    texts = ["010-1234-5678", "0١٢-٣٤٥-٦٧٨٩", "１２３-45-67", "900101-1234567", "12-34-56-78", "no digits a@b.co", "1 2 3", "", "서울특별시 강남구 테헤란로 12"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    plain = F.concat(*(patterns.findings_of(F.col("x"), kind) for kind in patterns.PATTERNS))
+    assert df.where(~plain.eqNullSafe(patterns.findings(F.col("x"), PersonalData()))).count() == 0
+    assert df.where(F.size(plain) > 0).count() >= 5

@@ -45,3 +45,22 @@ def test_settings_are_checked():
         Settings.of({"outputs": 1})
     with pytest.raises(ValueError, match="format"):
         Settings.of({"output": {"format": "csv"}})
+
+
+@pytest.mark.parametrize("action, tables", [("flag", 1), ("drop", 1), ("mask", 2)])
+def test_texts_are_written_once(spark, monkeypatch, action, tables):
+    """Cleaned texts are written a second time only where masking changes them, and all actions judge what they keep."""
+    from sievewright.config import PersonalData, Quality, Settings
+    from sievewright.operators import cleaning, filtering, personal_data
+    from sievewright.plans.records import records
+
+    names, written = [], pipeline.written
+    monkeypatch.setattr(pipeline, "written", lambda df, name: names.append(name) or written(df, name))
+    rows_, settings = records(spark, "/root/testdata/sf0.001").limit(60), Settings(personal_data=PersonalData(action=action))
+    result = pipeline.prepare(rows_, settings)
+    assert len(names) == tables
+    found = personal_data.with_findings(cleaning.clean_records(rows_, settings.cleaning), settings.personal_data)
+    want = filtering.with_reason(personal_data.act(found, settings.personal_data), Quality())
+    assert sorted(result.judged.columns) == sorted(want.columns) and result.findings.columns == found.columns
+    key = ["seq", "input", "output", "drop_reason"]
+    assert sorted(map(str, result.judged.select(key).collect())) == sorted(map(str, want.select(key).collect()))
