@@ -4,9 +4,10 @@ Equal vectors are one node. Random projection trees, fitted on a bounded sample,
 deal the nodes into small leaves whose pairs give the first neighbour lists. Each
 round of NN-descent then gathers at every node some neighbours in either direction
 (by joins; at most SIDE of each kind, so hubs stay small), compares these with one another and merges what is
-found into the lists of the nodes compared. Queries walk the graph in rounds: all
-open nodes of a query's beam hand on their neighbours, a join brings these to their
-vectors, and the nearest WIDTH stay. Distances are those of the original vectors
+found into the lists of the nodes compared. Queries walk the graph in rounds, from
+entries and the node of an equal vector: the nearest OPENED open nodes of a query's beam hand on
+their neighbours, the same join brings those handed on before to their vectors, and the
+nearest WIDTH stay, until no node of a beam is open. Distances are those of the original vectors
 in double precision, in the walk and in building the graph.
 """
 
@@ -26,7 +27,9 @@ LIST, SIDE, HANDED = 20, 10, 8
 ROUNDS, TREES, LEAF = 5, 3, 100
 #: Nodes that trees are fitted on and walks start from: the documented bound of the sample.
 SAMPLE = 4096
-ENTRIES, WIDTH, WALK = 16, 400, 40
+ENTRIES, WIDTH = 16, 400
+#: Nodes of a query that hand on their neighbours in one round.
+OPENED = 100
 #: Queries that are walked together.
 QUERIES = 16_384
 NEAREST = 10
@@ -213,13 +216,13 @@ class Index:
         Nearest first, ties to the smaller vec_id, equal vectors each by its own id.
         """
         spark = self.nodes.sparkSession
-        queries = written(queries.select("query_id", "e"), "ann-queries")
+        queries = written(queries.select("query_id", "e").join(self.nodes.select("e", "nid"), "e", "left"), "ann-queries")
         blocks = max(1, -(-queries.count() // QUERIES))
         found = None
         for block in range(blocks):
-            held = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).orderBy("query_id").toArrow().combine_chunks()
+            held = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).orderBy("query_id", "nid").toArrow().combine_chunks()
             if len(held):
-                beams = self._walk(held["query_id"].to_numpy(), _matrix(held["e"].combine_chunks()))
+                beams = self._walk(held["query_id"].to_numpy(), _matrix(held["e"].combine_chunks()), held["nid"].to_pylist())
                 found = beams if found is None else found.unionByName(beams)
         if found is None:
             found = spark.createDataFrame([], "query_id long, nid long, score double")
@@ -232,8 +235,8 @@ class Index:
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
         return named.withColumn("rank", rank).where(F.col("rank") <= NEAREST).select("query_id", "rank", "vec_id", "score")
 
-    def _walk(self, ids: np.ndarray, x: np.ndarray) -> DataFrame:
-        """Beams of a block of queries: query_id, nid, score of the nearest nodes met."""
+    def _walk(self, ids: np.ndarray, x: np.ndarray, own: list[int | None]) -> DataFrame:
+        """Beams of a block of queries: query_id, nid, score of the nearest nodes met. own: the nodes of equal vectors."""
         spark = self.nodes.sparkSession
         shared = spark.sparkContext.broadcast(x)
         start = []
@@ -241,48 +244,84 @@ class Index:
             cut = x[lo : lo + 256]
             d = (cut**2).sum(1)[:, None] + (self.entries**2).sum(1) - 2 * cut @ self.entries.T
             near = np.argsort(d, 1, kind="stable")[:, :ENTRIES]
-            start += [(lo + i, float("inf"), self.entry_ids[near[i]].tolist()) for i in range(len(cut))]
-        columns = "q long, bound double, todo array<long>, ids array<long>, d array<double>, seen array<long>"
-        state = written(spark.createDataFrame([(*s, [], [], s[2]) for s in start], columns), "ann-walk")
+            start += [(lo + i, sorted({*self.entry_ids[near[i]].tolist(), *own[lo + i : lo + i + 1]} - {None})) for i in range(len(cut))]
+        columns = "q long, bound double, ask array<long>, open array<long>, ids array<long>, d array<double>, closed array<long>, seen array<long>"
+        state = written(spark.createDataFrame([(q, float("inf"), v, v, [], [], [], v) for q, v in start], columns), "ann-walk")
 
         def measured(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
-                if part.num_rows:
-                    q = part["q"].to_numpy()
-                    d = np.sqrt(((_matrix(part["e"]) - shared.value[q]) ** 2).sum(1))
-                    keep = pa.array(d < part["bound"].to_numpy())
-                    yield pa.RecordBatch.from_arrays([part["q"], part["nid"], pa.array(d), part["adj"]], names=["q", "nid", "d", "adj"]).filter(keep)
+                opened = part["opened"].to_numpy(zero_copy_only=False)
+                near, handed = part.filter(pa.array(~opened)), part.filter(pa.array(opened))
+                if near.num_rows:
+                    d = np.sqrt(((_matrix(near["e"]) - shared.value[near["q"].to_numpy()]) ** 2).sum(1))
+                    keep = pa.array(d < near["bound"].to_numpy())
+                    yield pa.RecordBatch.from_arrays([near["q"], near["nid"], pa.array(d), near["adj"]], schema=_MET).filter(keep)
+                if handed.num_rows:
+                    yield pa.RecordBatch.from_arrays([handed["q"], handed["nid"], pa.nulls(handed.num_rows, pa.float64()), handed["adj"]], schema=_MET)
 
         def moved(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # A row may hold some ten thousand numbers, so no Python objects are made of them.
             for part in parts:
+                new, at = _pieces(part["new"])
+                nid, met = new.field(0).to_numpy(), new.field(1).to_numpy(zero_copy_only=False)
+                adj, cuts = _pieces(new.field(2))
+                adj = adj.to_numpy()
+                old = {c: _pieces(part[c]) for c in ("open", "ids", "d", "closed", "seen")}
+                old = {c: (v.to_numpy(), ends) for c, (v, ends) in old.items()}
                 rows = []
-                for r in part.to_pylist():
-                    new = r["new"] or []
-                    ids = np.array(r["ids"] + [y["nid"] for y in new], np.int64)
-                    d = np.array(r["d"] + [y["d"] for y in new])
-                    order = np.lexsort((ids, d))[:WIDTH]
-                    fresh = [new[k - len(r["ids"])]["adj"] for k in order.tolist() if k >= len(r["ids"])]
-                    seen = set(r["seen"])
-                    todo = sorted({v for adj in fresh for v in adj if v not in seen})
-                    bound = float(d[order[-1]]) if len(order) == WIDTH else float("inf")
-                    rows.append({"q": r["q"], "bound": bound, "todo": todo, "ids": ids[order].tolist(), "d": d[order].tolist(), "seen": r["seen"] + todo})
+                for r, q in enumerate(part["q"].to_pylist()):
+                    opened, held, dist, closed, seen = (v[ends[r] : ends[r + 1]] for v, ends in old.values())
+                    own, d = nid[at[r] : at[r + 1]], met[at[r] : at[r + 1]]
+                    fine = ~np.isnan(d)
+                    held, dist = np.concatenate([held, own[fine]]), np.concatenate([dist, d[fine]])
+                    order = np.lexsort((held, dist))[:WIDTH]
+                    held, dist = held[order], dist[order]
+                    ask = np.setdiff1d(adj[cuts[at[r]] : cuts[at[r + 1]]], seen)
+                    closed = np.intersect1d(np.concatenate([closed, opened]), held)
+                    bound = float(dist[-1]) if len(dist) == WIDTH else float("inf")
+                    rows.append((q, bound, ask, held[~np.isin(held, closed)][:OPENED], held, dist, closed, np.concatenate([seen, ask])))
                 if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_WALK)
-
-        for _ in range(WALK):
-            steps = state.select("q", "bound", F.explode("todo").alias("nid")).join(self.graph, "nid").select("q", "bound", "nid", "e", "adj")
-            steps = steps.mapInArrow(measured, "q long, nid long, d double, adj array<long>").groupBy("q").agg(F.collect_list(F.struct("nid", "d", "adj")).alias("new"))
-            after = written(state.join(steps, "q", "left").mapInArrow(moved, columns), "ann-walk")
+                    yield _state(rows)
+
+        while True:
+            asked = state.select("q", "bound", F.explode("ask").alias("nid"), F.lit(False).alias("opened"))
+            asked = asked.unionByName(state.select("q", "bound", F.explode("open").alias("nid"), F.lit(True).alias("opened")))
+            steps = asked.join(self.graph, "nid")
+            # Only what a row asks for goes on: the vector of a node to be measured, the neighbours of an open one.
+            steps = steps.select("q", "bound", "nid", "opened", F.when(~F.col("opened"), F.col("e")).alias("e"), F.when(F.col("opened"), F.col("adj")).alias("adj"))
+            met = steps.mapInArrow(measured, "q long, nid long, d double, adj array<long>").groupBy("q").agg(F.collect_list(F.struct("nid", "d", "adj")).alias("new"))
+            after = written(state.join(met, "q", "left").mapInArrow(moved, columns), "ann-walk")
             forget(state)
             state = after
-            if state.where(F.size("todo") > 0).isEmpty():
+            # A node is asked for once and opened once, so a walk ends.
+            if state.where("size(ask) > 0 or size(open) > 0").isEmpty():
                 break
         best = state.select("q", F.slice(F.arrays_zip(F.col("ids").alias("nid"), F.col("d").alias("score")), 1, 4 * NEAREST).alias("b")).select("q", F.explode("b").alias("b")).select("q", "b.*")
         names = spark.createDataFrame([(i, int(x)) for i, x in enumerate(ids)], "q long, query_id long")
         return best.toDF("q", "nid", "score").join(names, "q").select("query_id", "nid", "score")
 
 
-_WALK = pa.schema([("q", pa.int64()), ("bound", pa.float64()), ("todo", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("d", pa.list_(pa.float64())), ("seen", pa.list_(pa.int64()))])
+_IDS, _FAR = pa.list_(pa.int64()), pa.list_(pa.float64())
+_MET = pa.schema([("q", pa.int64()), ("nid", pa.int64()), ("d", pa.float64()), ("adj", _IDS)])
+_WALK = pa.schema([("q", pa.int64()), ("bound", pa.float64()), ("ask", _IDS), ("open", _IDS), ("ids", _IDS), ("d", _FAR), ("closed", _IDS), ("seen", _IDS)])
+
+
+def _pieces(column: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """The values of all lists, and where each begins and the last ends; a null list is empty."""
+    ends = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())])
+    return column.flatten(), ends
+
+
+def _state(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of _WALK from numbers and arrays."""
+    columns = []
+    for values, f in zip(zip(*rows, strict=True), _WALK, strict=True):
+        if pa.types.is_list(f.type):
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in values])]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values), f.type.value_type)))
+        else:
+            columns.append(pa.array(values, f.type))
+    return pa.RecordBatch.from_arrays(columns, schema=_WALK)
 
 
 def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:

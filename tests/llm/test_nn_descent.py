@@ -83,3 +83,30 @@ def test_one_huge_component(spark, tmp_path, monkeypatch):
     rows[7] = (7, [1e30] + [0.0] * 7)
     got, want = run(spark, tmp_path, rows), brute(rows)
     assert set(got) == set(want) and recall(got, want) >= 0.9
+
+
+def test_cluster_without_entries(spark, tmp_path, monkeypatch):
+    """A query starts at its own node too, so a far cluster that no edge leads to and no entry lies in is searched."""
+    monkeypatch.setattr(ann, "SAMPLE", 16)
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=4) + (1000 if i % 40 == 0 else 0)).tolist()) for i in range(10, 1210)]
+    far = {i for i, _ in rows if i % 40 == 0}
+    got, want = run(spark, tmp_path, rows), brute(rows)
+    assert {200, 400, 600} <= far  # no far vector is in the sample of 16
+    assert recall(got, want) >= 0.9 and recall({q: got[q] for q in got if q in far}, {q: want[q] for q in want if q in far}) == 1
+
+
+def test_nodes_are_opened_in_parts(spark, tmp_path, monkeypatch):
+    """A round hands on the neighbours of OPENED nodes of a query, however wide its beam; all of the beam are opened in the end."""
+    seen = []
+    monkeypatch.setattr(ann, "OPENED", 3)
+    monkeypatch.setattr(ann, "ENTRIES", 2)
+    monkeypatch.setattr(ann, "WIDTH", 30)
+    monkeypatch.setattr(ann, "forget", lambda *tables: seen.extend(r for t in tables if "open" in t.columns for r in t.collect()))
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(600)]
+    got, want = run(spark, tmp_path, rows), brute(rows)
+    assert recall(got, want) >= 0.9
+    assert seen and max(len(r.open) for r in seen) <= 3
+    last = {r.q: r for r in seen}
+    assert all(set(r.closed) <= set(r.ids) for r in last.values()) and max(len(r.closed) for r in seen) > 20
