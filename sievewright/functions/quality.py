@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import Quality
-from .text import bound, has_words, strip, stripped
+from .text import bound, has_words, strip
 
 
 def repetition(x: Column) -> Column:
@@ -25,7 +25,7 @@ def repetition(x: Column) -> Column:
         most = F.when(F.size(F.array_distinct(cut)) == F.size(cut), 1).otherwise(best)
         return F.when(F.size(cut) > 1, most / F.size(cut)).otherwise(0.0)
 
-    return bound(F.filter(F.transform(F.split(x, r"[.!?\n]"), stripped), lambda s: s != ""), share)
+    return bound(F.filter(F.transform(F.split(x, r"[.!?\n]"), strip), lambda s: s != ""), share)
 
 
 def drop_reason(rules: Quality, instruction: str = "instruction", input_: str = "input", output: str = "output", task: str = "task") -> Column:

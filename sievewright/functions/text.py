@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 from operator import or_
 
 from pyspark.sql import Column
@@ -17,20 +18,12 @@ def bound(x: Column, f: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(x), f)[0]
 
 
-def _solid(char: Column) -> Column:
-    """Whether a character lies outside of all ranges that hold blanks."""
-    c = F.ascii(char)
-    return c.between(0x21, 0x84) | c.between(0xA1, 0x167F) | (c > 0x3000)
-
-
-def stripped(x: Column) -> Column:
-    """strip() of a lambda's variable: the pattern sees only texts with blanks at an end."""
-    ends = _solid(F.substring(x, 1, 1)) & _solid(F.substring(x, -1, 1))
-    return F.when(ends, x).otherwise(F.regexp_replace(x, r"(?U)\A\s+|\s+\z", ""))
+#: What \s means with (?U).
+BLANKS = " \t\n\x0b\x0c\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
 def strip(x: Column) -> Column:
-    return bound(x, stripped)
+    return F.btrim(x, F.lit(BLANKS))
 
 
 def words(x: Column) -> Column:
@@ -61,9 +54,18 @@ def drop_tags(x: Column) -> Column:
     return bound(x, lambda t: F.when(F.contains(t, F.lit("<")), F.regexp_replace(t, r"<[^>]+>", " ")).otherwise(t))
 
 
+def _where(sign: str, f: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """f of the texts that hold sign; others stay."""
+    return lambda t: F.when(F.contains(t, F.lit(sign)), f(t)).otherwise(t)
+
+
 def drop_courtesies(x: Column, patterns: tuple[str, ...]) -> Column:
+    """Deletes the patterns one after the other. Where a pattern is words before a class and an end, a plain search for the words goes first."""
     for pattern in patterns:
-        x = F.regexp_replace(x, f"(?U){pattern}", "")
+        literal = re.fullmatch(r"([^\\\[\](){}.*+?^$|]+)(?:\[[^\[\]^&]*\]\*)?\$?", pattern)
+
+        without = partial(F.regexp_replace, pattern=f"(?U){pattern}", replacement="")
+        x = bound(x, _where(literal[1], without)) if literal else without(x)
     return x
 
 
@@ -80,11 +82,13 @@ def squeeze_blanks(x: Column) -> Column:
     """Runs of blanks but newlines become one space, none stays beside a newline. A plain search finds the texts to which that applies."""
 
     def runs(t: Column) -> Column:
-        odd = _any_of(t, _ODD) | ((F.octet_length(t) != F.length(t)) & _any_of(t, _WIDE_ODD))
-        return F.when(odd, F.regexp_replace(t, r"(?U)[^\S\n]+", " ")).otherwise(t)
+        wide = (F.octet_length(t) != F.length(t)) & _any_of(t, _WIDE_ODD)
+        every = F.when(wide, F.regexp_replace(t, r"(?U)[^\S\n]+", " "))
+        # Without wide blanks a short class is enough, and a lone space is no match, so that most of a text is passed over.
+        return every.when(_any_of(t, _ODD), F.regexp_replace(t, r"[\t\x0B\f\r][ \t\x0B\f\r]*| [ \t\x0B\f\r]+", " ")).otherwise(t)
 
     def beside(t: Column) -> Column:
-        return F.when(_any_of(t, (" \n", "\n ")), F.regexp_replace(t, r" *\n *", "\n")).otherwise(t)
+        return F.when(_any_of(t, (" \n", "\n ")), F.regexp_replace(t, r" +\n *|\n +", "\n")).otherwise(t)
 
     return bound(bound(x, runs), beside)
 

@@ -73,3 +73,24 @@ def test_searches_before_patterns_change_nothing(spark):
     pairs.append((quality.repetition(x), F.when(F.size(cut) > 1, once).otherwise(0.0)))
     for k, (got, want) in enumerate(pairs):
         assert df.where(~got.eqNullSafe(want)).count() == 0, k
+
+
+def test_courtesies_after_a_plain_search(spark):
+    """The search for a pattern's words takes nothing from the pattern; patterns of other forms are used as they are."""
+    from sievewright.config import COURTESIES
+
+    patterns = (*COURTESIES, "ab?", "x|y", "q[.]", "end$", "a{2}", r"\d+", "w[^z]*")
+    texts = ["", "안녕하세요", "a 안녕하세요. 　. b 안녕하세요!", "감사합니다. x", "x 감사합니다.\n", "감사합니다 감사합니다.", "a b ab", "only y", "q. q", "end end", "baab", "12 w34z", "업무에 고생이 많으십니다..안녕하세요"]
+    for pattern in patterns:
+        assert values(spark, lambda x, p=pattern: text.drop_courtesies(x, (p,)), texts) == values(spark, lambda x, p=pattern: F.regexp_replace(x, f"(?U){p}", ""), texts)
+
+
+def test_blanks_that_are_single_spaces_are_no_matches(spark):
+    """Runs of every mix of two and three blanks, against the bare pattern."""
+    from itertools import product
+
+    texts = [f"a b{''.join(run)}c d{''.join(run)}" for n in (1, 2, 3) for run in product(" \n\t\r\xa0　\x1c", repeat=n)]
+    bare = lambda x: F.regexp_replace(F.regexp_replace(x, r"(?U)[^\S\n]+", " "), r" *\n *", "\n")
+    assert values(spark, text.squeeze_blanks, texts) == values(spark, bare, texts)
+    assert values(spark, text.strip, texts) == values(spark, lambda x: F.regexp_replace(x, r"(?U)\A\s+|\s+\z", ""), texts)
+    assert set(text.BLANKS) == {chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and chr(c).isspace()} - set("\x1c\x1d\x1e\x1f")
