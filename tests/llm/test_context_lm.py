@@ -277,7 +277,7 @@ def test_rare_tokens_are_numbered_in_lists(spark):
     """rare_ids() of a list are the numbers of its tokens, the empty one too; texts beyond one handed-on part keep their own rare tokens."""
     code = lm.Code.new([b"a", b"b"], np.array([3, 2]), np.full(256, 1.0), 1.0)
     tokens = [b"", b"x", b"\xea\xb0\x80", b"x" * 70]
-    assert code.rare_ids(tokens) == [code.rare_id(t) for t in tokens]
+    assert code.rare_ids(tokens).tolist() == [code.rare_id(t) for t in tokens]
     rows = [(i, f"word other w{i} w{i} z{i % 7}" if i % 5 else None) for i in range(lm.ROWS + 300)]
     got = {r.doc_id: r for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
     assert len(got) == len(rows)
