@@ -284,3 +284,66 @@ def test_rare_tokens_are_numbered_in_lists(spark):
     for i, text in rows:
         # A token that only this text has is known if the model may learn from the text.
         assert (got[i].n_tokens, got[i].n_known) == ((6, 4 if got[i].held_out else 6) if text else (1, 1))
+
+
+def test_contexts_come_from_the_whole_corpus(spark, monkeypatch):
+    """Held-out copies are told by training texts of another file; the same words in another order are not."""
+    monkeypatch.setattr(lm, "DEALT", 2000, raising=False)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(60)]
+    texts = [rng.choices(words, k=50) for _ in range(8)]
+    learned = [(i, " ".join(texts[i % 8])) for i in range(300) if not apart(i)]
+    ids = [i for i in range(1000) if apart(i)][:80]
+    others = [(i, " ".join(texts[n % 8] if n < 40 else rng.sample(texts[n % 8], 50))) for n, i in enumerate(ids)]
+    docs = spark.createDataFrame(learned, "doc_id long, text string").coalesce(1).union(spark.createDataFrame(others, "doc_id long, text string").coalesce(1))
+    got = {r.doc_id: r for r in lm.score_texts(docs).collect()}
+    assert plain(got.values()) == base(learned + others)
+    copies, others = (sum(got[i].score for i in x) for x in (ids[:40], ids[40:]))
+    assert copies > 0.7 * others, copies / others
+
+
+def dealt(code, blocks, keys, splits=None):
+    """log10 probabilities by row of blocks of (rid, doc_id, held out, text), dealt, predicted by key and added up without Spark."""
+    splits = np.ones(len(code.tokens) + 2, np.uint64) if splits is None else splits
+    place = {t: i for i, t in enumerate(code.tokens)}
+    rows = []
+    for texts in blocks:
+        own = lm.Block(code, place, splits, keys)
+        for x in texts:
+            own.add(*x)
+        rows += own.deal()
+    rows.sort(key=lambda r: r[:4])
+    rows = lm.predict(lm.rows_of(iter(rows), lm._DEALT), code, 1.0)
+    rows = sorted(rows, key=lambda r: r[:3])
+    out = [x for part in lm.total(lm.rows_of(iter(rows), lm._PARTIAL), 1) for x in part.to_pylist()]
+    return [(x["doc_id"], x["n_tokens"], x["score"]) for x in out]
+
+
+def test_every_token_is_predicted_once_however_it_is_dealt():
+    """With tables that learn nothing, scores are those of the tree alone for any number of keys, splits and blocks."""
+    rng = random.Random(5)
+    tokens = [b""] + [bytes([97 + i]) for i in range(20)]
+    c = np.array([60, *(rng.randint(2, 60) for _ in range(20))])
+    code = lm.Code.new(tokens, c, ESCAPES, 4.0)
+    texts = [(i, 100 + i, True, b" ".join(rng.choices(tokens[1:], k=rng.randint(0, 30)))) for i in range(50)]
+    want = [lm.score_shard(code, [np.array([*(tokens.index(w) for w in t.split()), 0])], [0], [True])[0] for *_, t in texts]
+    for keys, split, cut in ((1, 1, 50), (7, 3, 50), (70, 1, 20)):
+        got = dealt(code, [texts[:cut], texts[cut:]] if cut < 50 else [texts], keys, np.full(len(tokens) + 2, split, np.uint64))
+        assert [x[:2] for x in got] == [(d, len(t.split()) + 1) for _, d, _, t in texts]
+        assert [x[2] for x in got] == pytest.approx(want, rel=1e-5)
+
+
+def test_alike_tokens_learn_as_often_as_they_stand():
+    code, c = small_code(random.Random(9))
+    leaves, contexts = np.array([3, 3, 3, 8, 8, 1]), np.array([[1, 1, 1, 2, 2, 3]] * 3, np.uint32)
+    one, all_ = lm.Shard(code, 14), lm.Shard(code, 14)
+    a = np.repeat(one.log10(leaves[[0, 3, 5]], contexts[:, [0, 3, 5]], True, np.array([3, 2, 1])), [3, 2, 1])
+    assert a == pytest.approx(all_.log10(leaves, contexts, True))
+    for k in ("weights", "ones", "seen", "counts"):
+        assert getattr(one, k) == pytest.approx(getattr(all_, k), rel=1e-5)
+
+
+def test_packed_arrays_come_back():
+    for n in (0, 1, 1000):
+        x = np.arange(n, dtype=np.uint32) * 4_000_037
+        assert lm.unpacked(*lm.packed(x, x[::-1])).tolist() == [*x.tolist(), *x[::-1].tolist()]
