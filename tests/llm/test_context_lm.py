@@ -295,7 +295,9 @@ def test_contexts_come_from_the_whole_corpus(spark, monkeypatch):
     learned = [(i, " ".join(texts[i % 8])) for i in range(300) if not apart(i)]
     ids = [i for i in range(1000) if apart(i)][:80]
     others = [(i, " ".join(texts[n % 8] if n < 40 else rng.sample(texts[n % 8], 50))) for n, i in enumerate(ids)]
-    docs = spark.createDataFrame(learned, "doc_id long, text string").coalesce(1).union(spark.createDataFrame(others, "doc_id long, text string").coalesce(1))
+    sc = spark.sparkContext
+    docs = spark.createDataFrame(sc.parallelize(learned, 1).union(sc.parallelize(others, 1)), "doc_id long, text string")
+    assert docs.rdd.getNumPartitions() == 2
     got = {r.doc_id: r for r in lm.score_texts(docs).collect()}
     assert plain(got.values()) == base(learned + others)
     copies, others = (sum(got[i].score for i in x) for x in (ids[:40], ids[40:]))
